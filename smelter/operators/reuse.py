@@ -1,0 +1,26 @@
+"""Materialising a small result that a plan needs more than once."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only if it names none."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = named or tempfile.mkdtemp(prefix="checkpoint-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def computed_once(df: DataFrame) -> DataFrame:
+    """`df`, computed now and written to the checkpoint folder.
+
+    Later uses read the files, so they neither repeat the work nor depend on
+    the executors that did it.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
