@@ -34,6 +34,17 @@ def _bag(columns: list[str], rows) -> Counter:
     return Counter(tuple(_plain(row[i]) for i in order) for row in rows)
 
 
+# Spark type -> DuckDB type of the columns that are compared.
+TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(spark, con, sf_dir: str, name: str) -> str | None:
     """None when both sides hold the same rows, else a short description."""
     df = QUERIES[name](spark, sf_dir)
@@ -41,8 +52,10 @@ def difference(spark, con, sf_dir: str, name: str) -> str | None:
     cursor = con.execute(ORACLE[name])
     names = [d[0] for d in cursor.description]
     want = _bag(names, cursor.fetchall())
-    if sorted(names) != sorted(df.columns):
-        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    got_types = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    want_types = {r[0]: r[1] for r in con.execute(f"describe {ORACLE[name]}").fetchall()}
+    if got_types != want_types:
+        return f"columns {set(got_types.items()) ^ set(want_types.items())}"
     if got != want:
         extra, missing = got - want, want - got
         return (

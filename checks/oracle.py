@@ -315,7 +315,7 @@ TABLES: dict[str, str] = {
     # An upsert of everything that changed must end in the full rebuild.
     "upsert_dim_customers": "select * from dim_customers",
 }
-for _name in [n for n in RAW_VIEWS]:
+for _name in RAW_VIEWS:
     TABLES[f"bronze_{_name.removeprefix('raw_')}"] = (
         f"select *, '{_name}.csv' as _source_file from {_name}"
     )
@@ -347,6 +347,35 @@ TABLES["audit_silver"] = _audit(SILVER_CHECKS)
 TABLES["audit_gold"] = _audit(GOLD_CHECKS)
 
 
+_LINE_MONEY = ("price", "freight_value", "line_total")
+
+# Decimal and whole-number columns that are compared as doubles.
+DOUBLES: dict[str, tuple[str, ...]] = {
+    "bronze_order_items": ("price", "freight_value"),
+    "bronze_order_payments": ("payment_value",),
+    "bronze_products": (
+        "product_weight_g",
+        "product_length_cm",
+        "product_height_cm",
+        "product_width_cm",
+    ),
+    "stg_order_items": _LINE_MONEY,
+    "stg_order_payments": ("payment_value",),
+    "stg_products": ("weight_grams",),
+    "dim_products": ("weight_grams", "total_revenue"),
+    "dim_sellers": ("total_revenue",),
+    "dim_payment_types": ("total_value",),
+    "dim_categories": ("total_revenue",),
+    "fct_sales": _LINE_MONEY,
+    "mart_executive": ("total_revenue",),
+    "mart_sales_category": ("revenue",),
+    "mart_sales_state": ("revenue",),
+    "mart_sales_month": ("revenue",),
+    "mart_seller_rank": ("revenue",),
+    "preview_products": ("product_weight_g",),
+}
+
+
 def _needed(text: str, found: dict[str, str]) -> None:
     everything = RAW_VIEWS | TABLES
     for name in everything:
@@ -361,7 +390,9 @@ def sql(name: str) -> str:
     _needed(TABLES[name], ctes)
     named = [f"{n} as materialized ({q})" for n, q in ctes.items()]
     named.append(f"answer as ({TABLES[name]})")
-    return f"with {', '.join(named)}\nselect * from answer"
+    doubles = ", ".join(f"cast({c} as double) as {c}" for c in DOUBLES.get(name, ()))
+    columns = f"* replace ({doubles})" if doubles else "*"
+    return f"with {', '.join(named)}\nselect {columns} from answer"
 
 
 ORACLE = {name: sql(name) for name in TABLES}
