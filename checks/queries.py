@@ -12,7 +12,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from checks.adapters import RAW_INPUTS, RAW_VIEWS
+from checks.adapters import RAW_INPUTS, RAW_VIEWS, TEST_TABLES
 from smelter.functions import columns as C
 from smelter.operators.audit import audit
 from smelter.operators.merge import latest_per_key, upsert
@@ -30,7 +30,10 @@ SECOND_BATCH_FROM = "2000-01-01 00:00:00"
 
 def raw_view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One raw view over the test tables, without lineage."""
-    inputs = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in RAW_INPUTS[name]}
+    inputs = {
+        table: spark.read.schema(TEST_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+        for table in RAW_INPUTS[name]
+    }
     text = RAW_VIEWS[name]
     for table in inputs:
         text = text.replace(f"from {table}", f"from {{{table}}}")
