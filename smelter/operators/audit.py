@@ -8,6 +8,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+_N = "_rows_of_key"
+
 
 @dataclass(frozen=True)
 class Check:
@@ -27,8 +29,8 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
     Rows are counted per key first, partly before the shuffle, so a key that
     repeats without end costs nothing extra.
     """
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
-    null, n = _any_null(key), F.col("n")
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias(_N))
+    null, n = _any_null(key), F.col(_N)
     return per_key.agg(
         F.coalesce(F.sum(n), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.when(null, n)), F.lit(0)).alias("null_keys"),
@@ -38,9 +40,9 @@ def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def orphan_count(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
     """One row: rows whose non-null `column` is missing in `parent`."""
-    used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(_N))
     missing = used.join(parent.select(column).distinct(), column, "left_anti")
-    return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orphans"))
+    return missing.agg(F.coalesce(F.sum(_N), F.lit(0)).alias("orphans"))
 
 
 def audit(
