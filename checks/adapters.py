@@ -41,7 +41,7 @@ RAW_VIEWS = {
         from orders
         union all
         select cast(o_orderkey as string), 2, 'voucher', 1, cast(cast(o_orderkey % 50 as decimal(10,2)) + cast(0.99 as decimal(10,2)) as decimal(10,2))
-        from orders where o_orderkey % 9 = 0
+        from orders where o_orderstatus = 'P'
     """,
     "raw_order_reviews": """
         select case when event_id % 211 = 0 then null else cast(event_id as string) end as review_id,

@@ -26,13 +26,15 @@ def latest_per_key(
     return newest.select(*(kept[c].alias(c) for c in df.columns))
 
 
-def latest_per_file(df: DataFrame) -> DataFrame:
-    """Keep the newest extract of each source file.
+def latest_per_file(df: DataFrame, extracts: DataFrame | None = None) -> DataFrame:
+    """Keep the rows of the newest extract of each source file.
 
-    For tables whose rows have no key: extracting a file again replaces its
-    rows, and equal rows within one extract are all kept.
+    For rows without a key: extracting a file again replaces its rows, and
+    equal rows within one extract are all kept. `extracts` holds all rows of the
+    extracts when `df` is only a part of them.
     """
-    newest = df.groupBy(SOURCE_FILE).agg(F.max(EXTRACTED_AT).alias(EXTRACTED_AT))
+    seen = df if extracts is None else extracts
+    newest = seen.groupBy(SOURCE_FILE).agg(F.max(EXTRACTED_AT).alias(EXTRACTED_AT))
     return df.join(newest, [SOURCE_FILE, EXTRACTED_AT], "left_semi").select(df.columns)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smelter.operators.merge import latest_per_file, latest_per_key
 from smelter.schemas import RAW_TABLES
@@ -24,7 +26,17 @@ def extract(
 
 
 def current(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """Newest state of a bronze table that extracts are appended to."""
+    """Newest state of a bronze table that extracts are appended to.
+
+    Rows that share a key are versions of one another and the newest is kept. A
+    row with a gap in its key is no version of anything; it stays for as long as
+    the newest extract of its file has it.
+    """
     stored = lake.read(spark, table)
     key = RAW_TABLES[table].key
-    return latest_per_key(stored, key) if key else latest_per_file(stored)
+    if not key:
+        return latest_per_file(stored)
+    gap = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
+    return latest_per_key(stored.filter(~gap), key).unionByName(
+        latest_per_file(stored.filter(gap), stored)
+    )

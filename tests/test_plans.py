@@ -1,0 +1,191 @@
+"""Properties of the physical plans: what must hold whatever the data size."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from checks.queries import QUERIES
+from smelter.plans import gold, marts, silver
+from smelter.plans.steps import GOLD, SILVER
+from smelter.session import shuffle_partitions
+from smelter.sinks.parquet import write_table
+
+SF = "/root/testdata/sf0.001"
+
+# Every join as it is when no side is small, and a skew threshold that the test
+# data can reach. AQE then has to split the hot keys by itself.
+AS_ON_LARGE_DATA = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+}
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def ran(df) -> str:
+    """The final adaptive plan, after running it."""
+    df.collect()
+    return plan(df).split("== Initial Plan ==")[0]
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Silver tables in which one product, seller, order and customer hold most rows."""
+    root = tmp_path_factory.mktemp("hot")
+    n = 40_000
+    i = F.col("id")
+
+    def mostly(prefix, others):
+        return F.concat(F.lit(prefix), F.when(i % 3 > 0, 0).otherwise(i % others).cast("string"))
+
+    base = spark.range(n).repartition(8)
+    now = F.current_timestamp().alias("_extracted_at")
+    price = F.lit("1.50").cast("decimal(10,2)")
+    made = {
+        "items": base.select(
+            mostly("o", 5000).alias("order_id"),
+            i.cast("int").alias("order_item_id"),
+            mostly("p", 500).alias("product_id"),
+            mostly("s", 50).alias("seller_id"),
+            F.concat(F.lit("l"), i).alias("order_line_id"),
+            *(price.alias(c) for c in ("price", "freight_value", "line_total")),
+            now,
+        ),
+        "orders": base.select(
+            F.concat(F.lit("o"), i).alias("order_id"),
+            mostly("c", 900).alias("customer_id"),
+            F.lit("delivered").alias("order_status"),
+            F.lit("2018-01-01").cast("timestamp").alias("order_purchase_at"),
+            F.lit("2018-01-03").cast("timestamp").alias("delivered_at"),
+            F.lit(2).alias("delivery_days"),
+            F.lit(True).alias("is_on_time"),
+            now,
+        ),
+        "products": spark.range(500).select(
+            F.concat(F.lit("p"), i).alias("product_id"),
+            F.concat(F.lit("c"), i % 7).alias("category_name"),
+            F.concat(F.lit("c"), i % 7).alias("category_name_pt"),
+        ),
+        "customers": spark.range(900).select(
+            F.concat(F.lit("c"), i).alias("customer_id"), F.lit("SP").alias("state")
+        ),
+        "sellers": spark.range(50).select(
+            F.concat(F.lit("s"), i).alias("seller_id"), F.lit("SP").alias("state")
+        ),
+    }
+    for name, df in made.items():
+        write_table(df, str(root / name))
+    return {name: spark.read.parquet(str(root / name)) for name in made}
+
+
+def test_hot_keys_of_the_sales_fact_are_split(hot, conf):
+    conf(AS_ON_LARGE_DATA)
+    df = gold.fct_sales(
+        hot["items"], hot["orders"], hot["customers"], hot["products"], hot["sellers"]
+    )
+    final = ran(df)
+    assert len(re.findall(r"SortMergeJoin\(skew=true\)", final)) == 4
+    assert df.count() == hot["items"].count()
+
+
+def test_hot_product_of_the_categories_is_split(hot, conf):
+    conf(AS_ON_LARGE_DATA)
+    df = gold.dim_categories(hot["products"], hot["items"])
+    assert "SortMergeJoin(skew=true)" in ran(df)
+    assert df.agg(F.sum("items_sold")).first()[0] == hot["items"].count()
+
+
+def test_hot_order_of_the_reviews_is_split(hot, conf):
+    conf(AS_ON_LARGE_DATA)
+    reviews = hot["items"].select(
+        F.col("order_line_id").alias("review_id"),
+        "order_id",
+        F.col("_extracted_at").alias("review_created_at"),
+        F.lit(5).alias("review_score"),
+        F.lit("positive").alias("review_sentiment"),
+    )
+    assert "SortMergeJoin(skew=true)" in ran(gold.fct_order_reviews(reviews, hot["orders"]))
+
+
+def test_hot_keys_are_counted_before_the_shuffle(hot):
+    for df in (
+        gold.dim_customers(
+            hot["customers"].withColumns(
+                {c: F.lit("x") for c in ("customer_unique_id", "zip_code", "city")}
+            ),
+            hot["orders"],
+        ),
+        gold.dim_order_status(hot["orders"]),
+    ):
+        text = plan(df)
+        assert text.index("partial_count") > text.index("Exchange")
+
+
+def test_distinct_orders_spread_a_hot_seller(hot):
+    """The lines shuffle on (seller, order), never on the seller alone."""
+    sellers = hot["sellers"].withColumns({c: F.lit("x") for c in ("zip_code", "city")})
+    text = plan(gold.dim_sellers(sellers, hot["items"]))
+    assert re.search(r"hashpartitioning\(seller_id#\d+, order_id#\d+", text)
+
+
+def test_silver_is_one_pruned_scan(spark, hot):
+    raw = hot["items"].withColumn("shipping_limit_date", F.col("_extracted_at"))
+    text = plan(silver.order_items(raw))
+    assert "Exchange" not in text
+    pushed = re.search(r"PushedFilters: \[([^\]]*)", text).group(1)
+    assert "IsNotNull(order_id)" in pushed and "IsNotNull(product_id)" in pushed
+    assert "line_total" not in re.search(r"ReadSchema: (\S+)", text).group(1)
+
+
+def test_sales_read_only_what_they_need(hot):
+    text = plan(gold.dim_order_status(hot["orders"]))
+    read = re.search(r"ReadSchema: (\S+)", text).group(1)
+    assert read == "struct<order_status:string,delivery_days:int,is_on_time:boolean>"
+
+
+def test_totals_cost_no_second_scan(hot):
+    assert plan(gold.dim_order_status(hot["orders"])).count("FileScan") == 1
+    categories = plan(gold.dim_categories(hot["products"], hot["items"]))
+    assert categories.count("FileScan") == 3  # products twice, lines once
+
+
+def test_customers_join_orders_not_lines(hot):
+    """The customer's state costs a shuffle of orders, not of lines."""
+    df = gold.fct_sales(
+        hot["items"], hot["orders"], hot["customers"], hot["products"], hot["sellers"]
+    )
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    lines = [x for x in logical.splitlines() if "Join " in x]
+    depth = {re.search(r"(\w+_id)#", x).group(1): x.index("Join") for x in lines}
+    assert depth["customer_id"] > depth["order_id"]
+
+
+@pytest.mark.parametrize("name", [*SILVER, *GOLD, "mart_sales_month", "audit_silver"])
+def test_no_python_and_no_cross_joins(spark, name):
+    text = plan(QUERIES[name](spark, SF))
+    for word in ("Python", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert word not in text
+
+
+def test_seller_ranking_reads_the_lines_once(spark, hot):
+    sales = gold.fct_sales(
+        hot["items"], hot["orders"], hot["customers"], hot["products"], hot["sellers"]
+    )
+    sellers = hot["sellers"].withColumn("seller_tier", F.lit("Bronze"))
+    df = marts.seller_rank(sales, sellers)
+    assert "FileScan" not in plan(df)
+    assert df.filter("revenue_rank = 1").count() == 1 and df.count() == 50
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(10 * 2**40, 4000) > 50_000

@@ -12,6 +12,7 @@ from checks.adapters import RAW_VIEWS
 from checks.compare import _bag, connect
 from checks.oracle import ORACLE
 from checks.queries import comparable
+from smelter.plans import marts
 from smelter.plans.runner import (
     LayerFailed,
     Options,
@@ -152,6 +153,37 @@ def test_appended_bronze_equals_overwritten(spark, con, raw_root, tmp_path):
         assert same_as_sql(con, lake.read(spark, name), name)
 
 
+def test_rows_with_a_gap_in_their_key_follow_their_file(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    raw.mkdir()
+    file = raw / "x_order_payments_dataset.csv"
+    header = "order_id,payment_sequential,payment_type,payment_installments,payment_value\n"
+    options = Options(bronze_append=True)
+
+    def extract(*lines):
+        file.write_text(header + "\n".join(lines) + "\n")
+        run_layer(spark, "bronze", lake, str(raw), options, ["raw_order_payments"])
+        run_layer(spark, "silver", lake, options=options, tables=["stg_order_payments"])
+        stored = lake.read(spark, "stg_order_payments")
+        return rows(stored.select("order_id", "payment_sequential", "payment_type").orderBy(
+            "payment_sequential", "payment_type"
+        ))
+
+    gap_a, gap_b = ("o", None, "a"), ("o", None, "b")
+    assert extract("o,1,x,1,1", "o,,a,1,1", "o,,b,1,1") == [gap_a, gap_b, ("o", 1, "x")]
+    assert extract("o,1,y,1,1", "o,,a,1,1", "o,,b,1,1") == [gap_a, gap_b, ("o", 1, "y")]
+    assert extract("o,1,z,1,1") == [("o", 1, "z")]
+
+
+def test_estimated_counts(spark, built):
+    sales, people = (built.lake.read(spark, t) for t in ("fct_sales", "dim_customers"))
+    exact = marts.executive(sales, people).first()
+    about = marts.executive(sales, people, F.approx_count_distinct).first()
+    assert about.total_revenue == exact.total_revenue
+    assert abs(about.total_orders / exact.total_orders - 1) < 0.15
+    assert abs(about.total_customers / exact.total_customers - 1) < 0.15
+
+
 def test_streamed_bronze_takes_each_file_once(spark, tmp_path):
     raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
     raw.mkdir()
