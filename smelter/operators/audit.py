@@ -8,8 +8,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-_N = "_rows_of_key"
-
 
 @dataclass(frozen=True)
 class Check:
@@ -19,52 +17,64 @@ class Check:
     parents: tuple[tuple[str, str], ...] = ()  # (column, parent table keyed by it)
 
 
-def _any_null(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, (F.col(n).isNull() for n in names))
+def _use(what: str, columns: Sequence[str]) -> Column:
+    values = F.array(*(F.col(c).cast("string") for c in columns))
+    return F.struct(F.lit(what).alias("what"), values.alias("value"))
 
 
-def key_counts(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: rows, rows with a null in the key, rows beyond the first of a key.
+def _orphans(column: str) -> str:
+    return f"orphan_{column}"
 
-    Rows are counted per key first, partly before the shuffle, so a key that
-    repeats without end costs nothing extra.
-    """
-    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias(_N))
-    null, n = _any_null(key), F.col(_N)
-    return per_key.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("total_rows"),
-        F.coalesce(F.sum(F.when(null, n)), F.lit(0)).alias("null_keys"),
-        F.coalesce(F.sum(F.when(~null, n - 1)), F.lit(0)).alias("duplicate_keys"),
-    )
 
+def audit_table(df: DataFrame, check: Check, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per measure: (measure, row_count).
 
-def orphan_count(df: DataFrame, column: str, parent: DataFrame) -> DataFrame:
-    """One row: rows whose non-null `column` is missing in `parent`."""
-    used = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias(_N))
-    missing = used.join(parent.select(column).distinct(), column, "left_anti")
-    return missing.agg(F.coalesce(F.sum(_N), F.lit(0)).alias("orphans"))
+    The table is read once, however many columns are checked: each row gives its
+    key and its references, and equal ones are counted together, partly before
+    the shuffle, so a value that repeats without end costs nothing extra. The
+    counts are already spread by value when they meet the keys of the parents.
+    """
+    uses = [_use("key", check.key), *(_use(_orphans(c), [c]) for c, _ in check.parents)]
+    counted = (
+        df.select(F.inline(F.array(*uses))).groupBy("what", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    if check.parents:
+        known = reduce(
+            DataFrame.unionByName,
+            (
+                parents[parent].select(_use(_orphans(c), [c]).alias("use")).select("use.*")
+                for c, parent in check.parents
+            ),
+        )
+        known = known.distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["what", "value"], "left")
+    else:
+        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
+
+    n, what = F.col("n"), F.col("what")
+    gap = F.exists("value", lambda part: part.isNull())
+    measures = {
+        "total_rows": F.when(what == "key", n),
+        "null_keys": F.when((what == "key") & gap, n),
+        "duplicate_keys": F.when((what == "key") & ~gap, n - 1),
+    }
+    for column, _ in check.parents:
+        missing = (what == _orphans(column)) & ~gap & F.col("known").isNull()
+        measures[_orphans(column)] = F.when(missing, n)
+    totals = counted.agg(
+        *(F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in measures.items())
+    )
+    listed = (
+        F.struct(F.lit(m).alias("measure"), F.col(m).alias("row_count")) for m in measures
+    )
+    return totals.select(F.inline(F.array(*listed)))
 
 
-def audit(
-    checks: Mapping[str, Check], read: Callable[[str], DataFrame]
-) -> DataFrame:
+def audit(checks: Mapping[str, Check], read: Callable[[str], DataFrame]) -> DataFrame:
     """One row per table and measure: (table_name, measure, row_count)."""
     parts = []
     for table, check in checks.items():
-        counts = key_counts(read(table), check.key)
-        measures = F.array(
-            *(
-                F.struct(F.lit(m).alias("measure"), F.col(m).alias("row_count"))
-                for m in ("total_rows", "null_keys", "duplicate_keys")
-            )
-        )
-        parts.append(counts.select(F.lit(table).alias("table_name"), F.inline(measures)))
-        for column, parent in check.parents:
-            parts.append(
-                orphan_count(read(table), column, read(parent)).select(
-                    F.lit(table).alias("table_name"),
-                    F.lit(f"orphan_{column}").alias("measure"),
-                    F.col("orphans").alias("row_count"),
-                )
-            )
+        parents = {parent: read(parent) for _, parent in check.parents}
+        measured = audit_table(read(table), check, parents)
+        parts.append(measured.select(F.lit(table).alias("table_name"), "measure", "row_count"))
     return reduce(DataFrame.unionByName, parts)

@@ -149,12 +149,16 @@ def test_audit(spark):
         "child": spark.createDataFrame(
             [("a", 1), ("z", 2), ("z", 2), (None, None)], "k string, n int"
         ),
+        "pairs": spark.createDataFrame(
+            [("a", 1), ("a", 1), ("a", 2), ("z", None)], "k string, what int"
+        ),
         "empty": spark.createDataFrame([], "k string"),
     }
     checks = {
         "parent": Check(("k",)),
         "child": Check(("n",), (("k", "parent"),)),
-        "empty": Check(("k",)),
+        "pairs": Check(("k", "what"), (("k", "parent"),)),
+        "empty": Check(("k",), (("k", "parent"),)),
     }
     got = {(r[0], r[1]): r[2] for r in audit(checks, tables.__getitem__).collect()}
     assert got == {
@@ -165,7 +169,12 @@ def test_audit(spark):
         ("child", "null_keys"): 1,
         ("child", "duplicate_keys"): 1,
         ("child", "orphan_k"): 2,
+        ("pairs", "total_rows"): 4,
+        ("pairs", "null_keys"): 1,
+        ("pairs", "duplicate_keys"): 1,
+        ("pairs", "orphan_k"): 1,
         ("empty", "total_rows"): 0,
+        ("empty", "orphan_k"): 0,
         ("empty", "null_keys"): 0,
         ("empty", "duplicate_keys"): 0,
     }
