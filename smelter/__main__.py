@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lake", required=True, help="root folder of the layers")
     parser.add_argument("--append", action="store_true", help="append to bronze")
     parser.add_argument("--upsert", action="store_true", help="upsert gold")
-    parser.add_argument("--since", type=date.fromisoformat, help="first month of sales to rebuild")
+    parser.add_argument("--since", type=date.fromisoformat, help="first month of facts to rebuild")
     parser.add_argument("--infer", action="store_true", help="let Spark guess raw types")
     parser.add_argument("--multiline", action="store_true", help="line breaks inside review text")
     parser.add_argument("--tidy", action="store_true", help="trim and even out place names")
@@ -29,7 +29,7 @@ def main(argv: list[str] | None = None) -> None:
     options = Options(
         bronze_append=args.append,
         gold_upsert=args.upsert,
-        sales_since=args.since,
+        facts_since=args.since,
         infer=args.infer,
         multiline=args.multiline,
         tidy=args.tidy,

@@ -15,7 +15,7 @@ from smelter.operators.audit import audit
 from smelter.operators.merge import upsert_table
 from smelter.plans import bronze
 from smelter.plans.steps import GOLD, GOLD_CHECKS, LAYERS, MARTS, SILVER, SILVER_CHECKS
-from smelter.schemas import APPEND_PARTITIONS, PARTITIONS, RAW_TABLES
+from smelter.schemas import APPEND_PARTITIONS, FACT_TIMES, PARTITIONS, RAW_TABLES
 from smelter.sinks.jdbc import export_table
 from smelter.sinks.parquet import recover, write_table
 from smelter.sources.lake import Lake, exists
@@ -46,7 +46,7 @@ class Options:
 
     bronze_append  keep earlier extracts and let silver read the newest rows
     gold_upsert    update and insert by key instead of replacing gold tables
-    sales_since    rebuild only the sales of this month and later (with gold_upsert)
+    facts_since    rebuild only the facts of this month and later (with gold_upsert)
     infer, multiline, tidy   see read_csv and the silver place names
     workers        tables of one layer built at the same time
     strict         raise after a layer in which a table failed
@@ -54,7 +54,7 @@ class Options:
 
     bronze_append: bool = False
     gold_upsert: bool = False
-    sales_since: date | None = None
+    facts_since: date | None = None
     infer: bool = False
     multiline: bool = False
     tidy: bool = False
@@ -129,11 +129,13 @@ def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) ->
     update = options.gold_upsert and exists(spark, path)
 
     if layout:
-        # Months are replaced as a whole, which is an upsert without a join.
-        if update and options.sales_since:
-            first = options.sales_since.replace(day=1)
-            at = step.inputs.index("stg_orders")
-            inputs[at] = inputs[at].filter(F.col("order_purchase_at") >= F.lit(first))
+        # Months are replaced as a whole: an upsert that neither joins nor
+        # rewrites the months that stay as they are.
+        if update and options.facts_since:
+            source, time = FACT_TIMES[table]
+            first = F.lit(options.facts_since.replace(day=1))
+            at = step.inputs.index(source)
+            inputs[at] = inputs[at].filter(F.col(time) >= first)
         df = _with_layout(step.build(*inputs), layout)
         return write_table(df, path, partition_by=tuple(layout), dynamic=update)
     if update:

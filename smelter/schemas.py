@@ -145,5 +145,14 @@ RAW_TABLES = {
 
 # How stored tables are split into folders: column name -> SQL expression. The
 # column is part of the layout only; readers get the table without it.
-PARTITIONS = {"fct_sales": {"order_month": "date_key div 100"}}
+PARTITIONS = {
+    "fct_sales": {"order_month": "date_key div 100"},
+    "fct_order_reviews": {"review_month": "review_date_key div 100"},
+}
 APPEND_PARTITIONS = {"_ingest_date": "to_date(_extracted_at)"}
+
+# Input and time column that decide about the month of a fact.
+FACT_TIMES = {
+    "fct_sales": ("stg_orders", "order_purchase_at"),
+    "fct_order_reviews": ("stg_order_reviews", "review_created_at"),
+}

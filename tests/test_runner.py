@@ -118,26 +118,33 @@ def test_sales_are_stored_by_month(spark, built):
 def test_upsert_runs_end_where_full_runs_end(spark, con, built, raw_root):
     for options in (
         Options(gold_upsert=True),
-        Options(gold_upsert=True, sales_since=date(2001, 3, 15)),
+        Options(gold_upsert=True, facts_since=date(2001, 3, 15)),
     ):
         run_layer(spark, "gold", built.lake, options=options)
         for name in GOLD:
             assert same_as_sql(con, built.lake.read(spark, name), name)
 
 
-def test_partial_sales_touch_only_later_months(spark, raw_root, tmp_path):
+def test_partial_facts_touch_only_later_months(spark, con, raw_root, tmp_path):
     lake = Lake(str(tmp_path))
     run_all(spark, raw_root, lake)
-
-    def files(month_filter):
-        sales = lake.read(spark, "fct_sales", layout=True).filter(month_filter)
-        return {r[0] for r in sales.select("_metadata.file_path").distinct().collect()}
-
-    early, late = files("order_month < 200103"), files("order_month >= 200103")
-    options = Options(gold_upsert=True, sales_since=date(2001, 3, 15))
-    run_layer(spark, "gold", lake, options=options, tables=["fct_sales"])
-    assert files("order_month < 200103") == early
-    assert not files("order_month >= 200103") & late
+    facts = {"fct_sales": ("order_month", 200103), "fct_order_reviews": ("review_month", 202401)}
+
+    def files(table, later):
+        month, first = facts[table]
+        stored = lake.read(spark, table, layout=True)
+        recent = F.coalesce(F.col(month) >= first, F.lit(False))
+        picked = stored.filter(recent if later else ~recent)
+        return {r[0] for r in picked.select("_metadata.file_path").distinct().collect()}
+
+    for table, (_, first) in facts.items():
+        early, late = files(table, False), files(table, True)
+        assert late
+        options = Options(gold_upsert=True, facts_since=date(first // 100, first % 100, 15))
+        run_layer(spark, "gold", lake, options=options, tables=[table])
+        assert files(table, False) == early
+        assert files(table, True) and not files(table, True) & late
+        assert same_as_sql(con, lake.read(spark, table), table)
 
 
 def test_appended_bronze_equals_overwritten(spark, con, raw_root, tmp_path):
