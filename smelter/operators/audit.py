@@ -17,57 +17,50 @@ class Check:
     parents: tuple[tuple[str, str], ...] = ()  # (column, parent table keyed by it)
 
 
-def _use(what: str, columns: Sequence[str]) -> Column:
-    values = F.array(*(F.col(c).cast("string") for c in columns))
-    return F.struct(F.lit(what).alias("what"), values.alias("value"))
-
-
-def _orphans(column: str) -> str:
-    return f"orphan_{column}"
+def _text(columns: Sequence[str]) -> Column:
+    """The values as one text, null if any of them is; lengths keep them apart."""
+    parts = [F.col(c).cast("string") for c in columns]
+    if len(parts) == 1:
+        return parts[0]
+    return F.concat(*(x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)))
 
 
 def audit_table(df: DataFrame, check: Check, parents: Mapping[str, DataFrame]) -> DataFrame:
     """One row per measure: (measure, row_count).
 
     The table is read once, however many columns are checked: each row gives its
-    key and its references, and equal ones are counted together, partly before
-    the shuffle, so a value that repeats without end costs nothing extra. The
-    counts are already spread by value when they meet the keys of the parents.
+    key (use 0) and its references (use 1, 2, ...), and equal ones are counted
+    together, partly before the shuffle, so a value that repeats without end
+    costs nothing extra. The counts are already spread by value when they meet
+    the keys of the parents.
     """
-    uses = [_use("key", check.key), *(_use(_orphans(c), [c]) for c, _ in check.parents)]
-    counted = (
-        df.select(F.inline(F.array(*uses))).groupBy("what", "value").agg(F.count(F.lit(1)).alias("n"))
+    uses = [_text(check.key), *(_text([column]) for column, _ in check.parents)]
+    listed = F.array(
+        *(F.struct(F.lit(i).alias("use"), u.alias("value")) for i, u in enumerate(uses))
     )
+    counted = df.select(F.inline(listed)).groupBy("use", "value").agg(F.count(F.lit(1)).alias("n"))
     if check.parents:
-        known = reduce(
-            DataFrame.unionByName,
-            (
-                parents[parent].select(_use(_orphans(c), [c]).alias("use")).select("use.*")
-                for c, parent in check.parents
-            ),
-        )
-        known = known.distinct().withColumn("known", F.lit(True))
-        counted = counted.join(known, ["what", "value"], "left")
-    else:
-        counted = counted.withColumn("known", F.lit(None).cast("boolean"))
-
-    n, what = F.col("n"), F.col("what")
-    gap = F.exists("value", lambda part: part.isNull())
+        keys = [
+            parents[parent].select(F.lit(i).alias("use"), _text([column]).alias("value"))
+            for i, (column, parent) in enumerate(check.parents, start=1)
+        ]
+        known = reduce(DataFrame.unionByName, keys).distinct().withColumn("known", F.lit(True))
+        counted = counted.join(known, ["use", "value"], "left")
+
+    n, use, given = F.col("n"), F.col("use"), F.col("value").isNotNull()
     measures = {
-        "total_rows": F.when(what == "key", n),
-        "null_keys": F.when((what == "key") & gap, n),
-        "duplicate_keys": F.when((what == "key") & ~gap, n - 1),
+        "total_rows": F.when(use == 0, n),
+        "null_keys": F.when((use == 0) & ~given, n),
+        "duplicate_keys": F.when((use == 0) & given, n - 1),
     }
-    for column, _ in check.parents:
-        missing = (what == _orphans(column)) & ~gap & F.col("known").isNull()
-        measures[_orphans(column)] = F.when(missing, n)
+    for i, (column, _) in enumerate(check.parents, start=1):
+        orphan = (use == i) & given & F.col("known").isNull()
+        measures[f"orphan_{column}"] = F.when(orphan, n)
     totals = counted.agg(
         *(F.coalesce(F.sum(c), F.lit(0)).alias(name) for name, c in measures.items())
     )
-    listed = (
-        F.struct(F.lit(m).alias("measure"), F.col(m).alias("row_count")) for m in measures
-    )
-    return totals.select(F.inline(F.array(*listed)))
+    rows = (F.struct(F.lit(m).alias("measure"), F.col(m).alias("row_count")) for m in measures)
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def audit(checks: Mapping[str, Check], read: Callable[[str], DataFrame]) -> DataFrame:
