@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm.exact_dedup import exact_duplicates
+from smelter.llm.html_blocks import extract_main_text
 from smelter.llm.mixing import mix
 from smelter.llm.packing import pack
+from smelter.llm.quality import assess
 from smelter.llm.sharding import shard
 
 
@@ -24,6 +26,14 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir))
 
 
+def op3_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assess(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op4_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -35,6 +45,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": op1_jump_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_isolation_rules": op3_isolation_rules,
+    "op4_block_labeller": op4_block_labeller,
     "op7_source_schedule": op7_source_schedule,
     "op9_exact_dedup": op9_exact_dedup,
 }
