@@ -40,6 +40,8 @@ class Scratch:
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.parquet(path)
+        # what led here isn't read again; Spark removes its shuffle files once the driver has collected them
+        self.spark._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from smelter.llm.exact_dedup import exact_duplicates
 from smelter.llm.html_blocks import extract_main_text
 from smelter.llm.mixing import mix
+from smelter.llm.ngram_join import similar_documents
 from smelter.llm.packing import pack
 from smelter.llm.quality import assess
 from smelter.llm.sharding import shard
@@ -34,6 +35,10 @@ def op4_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(documents(spark, sf_dir), k=3, num=90, den=100)
+
+
 def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -47,6 +52,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_isolation_rules": op3_isolation_rules,
     "op4_block_labeller": op4_block_labeller,
+    "op6_ngram_join": op6_ngram_join,
     "op7_source_schedule": op7_source_schedule,
     "op9_exact_dedup": op9_exact_dedup,
 }
