@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from smelter.llm.bucket_join import BucketJoin
 from smelter.llm.common import Scratch, durable
 from smelter.llm.components import components
 from smelter.llm.words import LOWER, blocks, mix, shingles_of, word_hashes
@@ -26,8 +27,6 @@ from smelter.llm.words import LOWER, blocks, mix, shingles_of, word_hashes
 FREQUENT, FREQUENT_SHARE = 64, 65536
 #: Sets below this size use no pairs; above, a class of frequent elements has about so many of a set.
 PAIRED_SIZE, PER_CLASS = 16, 4
-#: A bucket with at most so many sets is compared throughout; in a larger one sets that are connected already are not.
-SMALL_BUCKET = 32
 #: Bins of the summary by which most pairs are ruled out, and the pairs that a held set is compared with in one place.
 BINS, PER_PLACE = 64, 512
 SETS = "doc_id long, n long, sid binary, summary binary, heads array<long>"
@@ -185,11 +184,12 @@ def compare(num: int, den: int):
     return links
 
 
-class Join:
-    """The steps of one join; tables that several steps read lie in the scratch folder."""
+class SetJoin(BucketJoin):
+    """Sets of n-grams, verified by counting what they share."""
 
     def __init__(self, docs: DataFrame, scratch: Scratch, k: int, num: int, den: int):
-        self.docs, self.scratch, self.k, self.num, self.den = docs, scratch, k, num, den
+        super().__init__(scratch)
+        self.docs, self.k, self.num, self.den = docs, k, num, den
         self.close_sizes = f"{num} * a_n <= {den} * b_n and {num} * b_n <= {den} * a_n"
 
     def frequent(self, members: DataFrame) -> np.ndarray:
@@ -233,41 +233,6 @@ class Join:
         rows = held.unionByName(passing).repartition("a", "place").sortWithinPartitions("a", "place", "role")
         return self.scratch.write(rows.mapInArrow(compare(self.num, self.den), "a long, b long"), f"{name}_links")
 
-    def links(self, nodes: DataFrame) -> DataFrame:
-        """Links that connect all sets which a chain of similar pairs connects."""
-        index = nodes.select("node", "n", F.explode("heads").alias("signature"))
-        counts = index.groupBy("signature").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
-        buckets = self.scratch.write(index.join(counts, "signature"), "buckets")
-        small, large = buckets.filter(f"sets <= {SMALL_BUCKET}"), buckets.filter(f"sets > {SMALL_BUCKET}")
-        within = paired(small, small, "a < b").filter(self.close_sizes)
-        # in a large bucket all are compared with one; the order of sets is the same in all buckets
-        first = large.groupBy("signature").agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("first"))
-        hubs = first.select("signature", "first.node", "first.n")
-        with_hub = paired(hubs, large, "a <> b").filter(self.close_sizes)
-        found = self.verified(self.possible(within.select("a", "b").unionByName(with_hub.select("a", "b")), nodes), nodes, "first")
-        # what is left are buckets with sets that aren't connected yet
-        labels = components(found)
-        labelled = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labelled = self.scratch.write(labelled.select("signature", "node", "n", "label"), "labelled")
-        per_label = labelled.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("sets"))
-        main = per_label.groupBy("signature").agg(F.max_by("label", F.struct("sets", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-        open_ = self.scratch.write(labelled.join(main.filter("labels > 1"), "signature"), "open")
-        rest = paired(open_.filter("label <> main"), open_, "a_label <> b_label and (b_label = b_main or a < b)").filter(self.close_sizes)
-        rest = rest.select("a", "b").distinct()
-        if rest.isEmpty():
-            return found
-        return found.unionByName(self.verified(self.possible(rest, nodes), nodes, "rest"))
-
-
-def paired(one: DataFrame, other: DataFrame, condition: str) -> DataFrame:
-    """Rows of both tables with one signature; columns get the prefixes a and b, `node` becomes a and b itself."""
-
-    def prefixed(df: DataFrame, by: str) -> DataFrame:
-        names = {c: by if c == "node" else f"{by}_{c}" for c in df.columns if c != "signature"}
-        return df.select("signature", *(F.col(c).alias(n) for c, n in names.items()))
-
-    return prefixed(one, "a").join(prefixed(other, "b"), "signature").filter(condition)
-
 
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id.
@@ -282,9 +247,9 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with Scratch(docs.sparkSession) as scratch:
-        join = Join(slim, scratch, k, num, den)
+        join = SetJoin(slim, scratch, k, num, den)
         members, nodes = join.nodes()
-        labels = components(join.links(nodes))
+        labels = components(join.links(nodes.select("node", "n", F.explode("heads").alias("signature")), nodes))
         known = nodes.select("node", "sid", "rep_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         smallest = known.groupBy("label").agg(F.min("rep_id").alias("component_id"))
         by_set = known.join(smallest, "label").select("sid", "component_id")

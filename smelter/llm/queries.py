@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm.exact_dedup import exact_duplicates
 from smelter.llm.html_blocks import extract_main_text
+from smelter.llm.licenses import scan_licenses
+from smelter.llm.line_dedup import line_report
 from smelter.llm.mixing import mix
 from smelter.llm.ngram_join import similar_documents
 from smelter.llm.packing import pack
+from smelter.llm.pii import pseudonymise
 from smelter.llm.quality import assess
 from smelter.llm.sharding import shard
 
@@ -35,6 +38,10 @@ def op4_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir))
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir), k=3, num=90, den=100)
 
@@ -43,18 +50,29 @@ def op7_source_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(documents(spark, sf_dir))
 
 
+def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": op1_jump_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_isolation_rules": op3_isolation_rules,
     "op4_block_labeller": op4_block_labeller,
+    "op5_license_scan": op5_license_scan,
     "op6_ngram_join": op6_ngram_join,
     "op7_source_schedule": op7_source_schedule,
+    "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_feistel_pseudonyms": op10_feistel_pseudonyms,
 }
 
 ORACLE: dict[str, str] = {

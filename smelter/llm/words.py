@@ -24,15 +24,15 @@ BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTOR = np.uint64(0xD1342543DE82EF95)
 
 
-def powers(n: int, known=[np.ones(1, np.uint64)]) -> np.ndarray:  # noqa: B006
-    """The first n powers of FACTOR; kept between calls up to the length of ordinary words."""
-    if len(known[0]) >= n:
-        return known[0][:n]
-    made = np.full(max(n, 64), FACTOR)
-    made[0] = 1
-    np.multiply.accumulate(made, out=made)
-    if n <= 1 << 16:
-        known[0] = made
+def powers(n: int, factor: np.uint64 = FACTOR, known: dict = {}) -> np.ndarray:  # noqa: B006
+    """The first n powers of a factor; kept between calls up to the length of ordinary words and lines."""
+    made = known.get(factor)
+    if made is None or len(made) < n:
+        made = np.full(max(n, 1024), factor)
+        made[0] = 1
+        np.multiply.accumulate(made, out=made)
+        if n <= 1 << 16:
+            known[factor] = made
     return made[:n]
 
 
