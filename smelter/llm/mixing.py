@@ -179,6 +179,8 @@ def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
         (F.col("d.id_") == F.col("t.id_")) & (F.col("d.mark_") == F.col("t.mark_")) & (F.col("d.nth_") - F.col("t.nth_") == 0),
     )
     each = met.withColumn("words_", F.explode(F.array("t.first_pass", "t.second_pass"))).filter("words_ > 0")
-    cut = F.expr(r"regexp_substr(d.text, concat('^[\\x20\\x09-\\x0D]*(?:[^\\x20\\x09-\\x0D]+[\\x20\\x09-\\x0D]*){', words_, '}'))")
+    # words with the white space before them; no pattern that Java would match by recursion
+    pieces = F.regexp_extract_all("d.text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words_").cast("int")), "")
     text = F.when(F.col("words_") >= F.col("t.size"), F.col("d.text")).otherwise(cut)
     return each.select(*(text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))

@@ -15,7 +15,7 @@ ROUNDS = 8
 FIRST_DAY, DAYS, DAY_SIDES = "1900-01-01", 73049, (229, 319)
 # How private values are written. The order decides what a text is taken for.
 SECRET = r"\bAKIA[A-Z0-9]{16,20}\b|(?i:\b(?:token|password|passwd|secret|api[_-]?key)\s*[=:]\s*[\"']?)[A-Za-z0-9_\-]{8,}"
-EMAIL = r"[A-Za-z0-9][\w.%+\-]*@[A-Za-z0-9][A-Za-z0-9\-]*(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"[A-Za-z0-9][\w.%+\-]{0,63}@(?:[A-Za-z0-9][A-Za-z0-9\-]{0,62}\.){1,30}[A-Za-z]{2,63}"
 DATE = r"(?<![\d.\-])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-])"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
 PHONE = r"\+\d{1,3}[ \-]?\(\d{2,4}\)[ \-]?\d{3}[ \-]?\d{4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d\-])\d{3}-\d{3}-\d{4}(?![\d\-])"
