@@ -1,0 +1,109 @@
+import numpy as np
+import pytest
+
+from smelter.llm.html_blocks import Network, blocks_of, extract_main_text, label, marked, padded, redressed, train, vectors
+from tests.llm.conftest import rows, words
+
+
+def page(i, broken=False):
+    body = "".join(f"<p>{words(20 + i % 7, 100 * i + k).capitalize()}.</p>" for k in range(3 + i % 5))
+    nav = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in words(4, i).split())
+    end = "" if broken else "</body></html>"
+    return (
+        f'<!DOCTYPE html><html><head><title>t{i}</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul>{nav}</ul></nav><!-- ad -->'
+        f'<div class="ad">{words(6, i + 9)}</div><article><h1>{words(5, i + 5)}</h1>{body}</article><footer>&copy; {words(3, i)}</footer>{end}'
+    )
+
+
+def texts(html):
+    return [b[1] for b in blocks_of(html)]
+
+
+def test_blocks_and_white_space():
+    assert texts("<p> a\n <b>b</b>c &amp; &eacute;&#39;&nbsp;x<br>y<p>z") == ["a bc & é' x y", "z"]
+    assert texts("x<div>y<span>z</span></div>w") == ["x", "yz", "w"]
+    assert texts("<ul><li>a<li>b</ul>c") == ["a", "b", "c"]
+    assert texts("<script>if (a<b) '</p>'</script><style>x</style><p>t</p><title>u</title><!-- <p>v</p> -->") == ["t"]
+    assert texts("a < b & c") == ["a < b & c"]
+    assert texts("</div><p>a</b></p></article>b") == ["a", "b"]
+    assert texts("") == texts("   ") == texts("<br><hr>") == texts("<script>never closed") == texts("<!-- open <p>x") == []
+    assert texts('<p title="a > b">c</p>') == ["c"]
+    assert texts("<table><tr><td>1<td>2<tr><td>3</table>") == ["1", "2", "3"]
+
+
+def test_paths_have_tags_and_names():
+    (path, _, linked), *_ = blocks_of('<div class="Side-bar x"><p id=main><a href="">abc</a></p></div>')
+    assert path == ("div", ".side", ".bar", ".x", "p", ".main") and linked == 3
+    assert marked(("body", "div", ".ad", "p")) is False and marked(("article", "p")) is True and marked(("body", "p")) is None
+
+
+def test_gradients_equal_differences():
+    rng = np.random.default_rng(4)
+    network = Network.new(rng)
+    network.w = [w.astype(np.float64) for w in network.w]
+    x, mask = padded([rng.standard_normal((n, network.w[0].shape[0])).astype(np.float32) for n in (4, 2)])
+    x, y = x.astype(np.float64), rng.integers(0, 2, mask.shape).astype(np.float64)
+
+    def loss():
+        p, _ = network.forward(x, mask)
+        return float(-(mask * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / mask.sum())
+
+    for w, g in zip(network.w, network.gradients(x, mask, y)):
+        for at in [tuple(rng.integers(0, n) for n in w.shape) for _ in range(6)]:
+            keep, step = w[at], 1e-3
+            w[at] = keep + step
+            up = loss()
+            w[at] = keep - step
+            down = loss()
+            w[at] = keep
+            assert (up - down) / (2 * step) == pytest.approx(float(g[at]), abs=2e-3)
+
+
+@pytest.fixture(scope="module")
+def network():
+    return train([page(i) for i in range(120)])
+
+
+def test_held_out_pages(network):
+    pages = [blocks_of(page(i, broken=i % 3 == 0)) for i in range(500, 560)]
+    for blocks, got in zip(pages, label(network, pages)):
+        assert got.tolist() == [bool(marked(p)) for p, _, _ in blocks]
+
+
+def test_furniture_that_training_pages_have_not(network):
+    rng = np.random.default_rng(11)
+    dressed = [redressed(blocks_of(page(i)), rng) for i in range(600, 700)]
+    wrong = total = 0
+    for (_, want), got in zip(dressed, label(network, [b for b, _ in dressed])):
+        wrong, total = wrong + int((np.array(want) != got).sum()), total + len(want)
+    assert wrong / total < 0.04
+
+
+def test_context_reaches_every_block(network):
+    blocks = blocks_of(page(1))
+    x, mask = padded([vectors(blocks)])
+    before, _ = network.forward(x, mask)
+    x[-1] += 1
+    after, _ = network.forward(x, mask)
+    assert before[0, 0] != after[0, 0]
+
+
+def test_padding_changes_nothing(network):
+    pages = [blocks_of(page(i)) for i in (1, 2, 3)]
+    together = label(network, pages)
+    for p, got in zip(pages, together):
+        assert label(network, [p])[0].tolist() == got.tolist()
+
+
+def test_a_table_of_pages(spark):
+    html = [page(i) for i in range(60)]
+    given = [(i, f"u{i}", h, 1) for i, h in enumerate(html)] + [(100, None, None, 1), (101, "", "", 1), (None, "u", page(3), 1), (3, "u3", page(3), 1), (102, "x", "<p>", 1)]
+    given.append((103, "long", "<article>" + "".join(f"<p>{words(9, i).capitalize()}.</p>" for i in range(3000)) + "</article>", 1))
+    table = spark.createDataFrame(given, "page_id long, url string, html string, n_chars int")
+    want = []
+    for page_id, url, h, _ in given:
+        text = "\n".join(t for p, t, _ in blocks_of(h or "") if marked(p))
+        want.append((page_id, url, text, len(text)))
+    got = extract_main_text(table)
+    assert rows(got, "page_id", "url", "text", "n_chars") == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    assert extract_main_text(table.limit(0)).count() == 0

@@ -1,0 +1,79 @@
+import re
+
+import pandas as pd
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from smelter.llm.licenses import BASE, LETTERS, evaluate, scan, scan_licenses
+from tests.llm.conftest import rows
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(text):
+    found = WORD.findall((text or "").translate(LOWER))
+    starts, labels = [], set()
+    for phrase, label in BASE.items():
+        parts = phrase.split()
+        for i in range(len(found) - len(parts) + 1):
+            if found[i : i + len(parts)] == parts:
+                starts.append(i)
+                labels.add(label)
+    return len(found), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels))
+
+
+TEXT = st.lists(st.sampled_from(["GNU General Public License", "apache", "License", "CC-BY", "cc by", "mit LICENSE", "é", "x1", ",", "\n", "\x00", "İ"]), max_size=12)
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXT.map(" ".join))
+def test_base_columns_equal_brute_force(text):
+    got = scan([text]).iloc[0]
+    first, last = (None if pd.isna(got[c]) else int(got[c]) for c in ("first_word", "last_word"))
+    assert (int(got["n_words"]), int(got["n_base"]), first, last, got["base_labels"]) == brute(text)
+
+
+def test_letters_are_the_words_characters():
+    for c in range(128):
+        low = chr(c).translate(LOWER)
+        assert (LETTERS[c] != 32) == bool(WORD.fullmatch(low))
+
+
+def test_expressions():
+    def read(text):
+        terms = evaluate(text.lower())
+        return terms and (sorted(terms.labels), terms.permissive)
+
+    assert read("MIT") == (["mit"], True)
+    assert read("MIT OR GPL-2.0-only") == (["gpl", "mit"], True)
+    assert read("MIT AND GPL-2.0-only") == (["gpl", "mit"], False)
+    # with binds tighter than and, and tighter than or
+    assert read("GPL-2.0 WITH Classpath-exception-2.0 AND MIT OR MPL-2.0") == (["gpl", "mit", "mpl"], True)
+    assert read("GPL-2.0 AND MIT OR MPL-2.0") == (["gpl", "mit", "mpl"], False)
+    assert read("GPL-2.0 AND (MIT OR MPL-2.0)") == (["gpl", "mit", "mpl"], False)
+    assert read("(MIT OR GPL-2.0) AND (BSD-3-Clause OR LGPL-2.1)") == (["bsd", "gpl", "lgpl", "mit"], True)
+    # reading ends where the expression does
+    assert read("MIT */ int main(") == (["mit"], True)
+    assert read("MIT OR") == read("(MIT") == read("MIT)") == (["mit"], True)
+    assert read("") is None and read("OR MIT") is None and read("((") is None
+    assert read("((MIT))") == (["mit"], True)
+
+
+def test_a_table(docs, odd_docs):
+    table = odd_docs.unionByName(
+        docs(
+            (50, "// SPDX-License-Identifier: Apache-2.0 WITH LLVM-exception OR MIT\nThe MIT License"),
+            (51, "Permission is hereby granted, free of charge. All rights reserved."),
+            (52, "spdx license identifier"),
+            (53, "x " * 100_000 + "Apache License"),
+        )
+    )
+    got = rows(scan_licenses(table), "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+    want = [(r.doc_id, *brute(r.text)) for r in table.collect()]
+    assert got == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    more = {r.doc_id: (r.labels, r.score, r.permissive) for r in scan_licenses(table).collect()}
+    assert more[50] == ("apache,mit", 1 - 0.5**3, True)
+    assert more[51] == ("all-rights-reserved,mit", 0.75, None)
+    assert more[52] == more[3] == more[4] == ("", 0.0, None)
+    assert scan_licenses(table.limit(0)).count() == 0

@@ -1,0 +1,106 @@
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from smelter.llm import packing
+from smelter.llm.packing import TOKENIZER, best_fit, encode, pack, reduce_counts, solve
+from tests.llm.conftest import rows, words
+
+PATH = public_tokenizers.path(TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    found = Tokenizer.from_file(PATH)
+    found.encode_special_tokens = True
+    return found
+
+
+def expected(tokenizer, text) -> np.ndarray:
+    return np.array(tokenizer.encode(text or "", add_special_tokens=False).ids, "<u4")
+
+
+@pytest.mark.parametrize("stretch", [5, 1 << 19])
+def test_ids_are_the_tokenizer_s(tokenizer, monkeypatch, stretch):
+    monkeypatch.setattr(packing, "STRETCH", stretch)
+    for text in ["", " ", "  a  b ", "a\n\n b", "\n x\n", "a  b\t c   d", "é漢  b", "<|endoftext|> a", "don't 's 12ab ,, x's", words(50, 1)]:
+        assert encode(text, PATH) == expected(tokenizer, text).tobytes()
+
+
+def exact_bins(sizes: list[int], capacity: int) -> int:
+    """The fewest bins, by trying everything."""
+    best = [len(sizes)]
+
+    def place(i: int, rooms: list[int]) -> None:
+        if len(rooms) >= best[0]:
+            return
+        if i == len(sizes):
+            best[0] = len(rooms)
+            return
+        for r in sorted({x for x in rooms if x >= sizes[i]}):
+            k = rooms.index(r)
+            place(i + 1, [*rooms[:k], r - sizes[i], *rooms[k + 1 :]])
+        place(i + 1, [*rooms, capacity - sizes[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_bins_hold_all_pieces_and_reduction_costs_no_bin():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        capacity = int(rng.integers(5, 30))
+        sizes = sorted(rng.integers(1, capacity + 1, rng.integers(1, 9)).tolist(), reverse=True)
+        counts = np.bincount(sizes, minlength=capacity + 1)
+        found = solve(counts, capacity)
+        held = np.zeros_like(counts)
+        for pieces, times in found:
+            assert sum(pieces) <= capacity and times > 0
+            for p in pieces:
+                held[p] += times
+        assert (held == counts).all()
+        left = counts.copy()
+        fixed = reduce_counts(left, capacity)
+        rest = [s for s in range(capacity, 0, -1) for _ in range(left[s])]
+        best = exact_bins(sizes, capacity)
+        assert sum(t for _, t in fixed) + (exact_bins(rest, capacity) if rest else 0) == best
+        assert sum(t for _, t in found) <= best + 1
+
+
+def test_best_fit_takes_the_fullest_bin():
+    counts = np.bincount([7, 5, 3], minlength=11)
+    assert sorted(best_fit(counts, 10)) == [((5,), 1), ((7, 3), 1)]
+
+
+def test_many_equal_pieces_are_solved_at_once():
+    counts = np.zeros(2049, np.int64)
+    counts[[1, 600, 1448, 2048]] = 10**12
+    assert sum(t for _, t in solve(counts)) < 2.1 * 10**12
+
+
+def test_pieces_are_whole_and_sequences_full_without_gaps(odd_docs, tokenizer):
+    got = rows(pack(odd_docs, capacity=64), "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    want = []
+    for r in odd_docs.collect():
+        ids = np.append(expected(tokenizer, r.text), np.uint32(0)).astype("<u4")
+        first = len(ids) % 64 or 64
+        bounds = [0, *range(first, len(ids) + 1, 64)]
+        want += [(r.doc_id, i, a, b - a, zlib.crc32(ids[a:b].tobytes())) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+    assert [g[:5] for g in got] == sorted(want, key=lambda r: [(v is not None, v) for v in r])
+    sequences = defaultdict(list)
+    for *_, length, _, sequence, offset in got:
+        sequences[sequence].append((offset, length))
+    for pieces in sequences.values():
+        end = 0
+        for offset, length in sorted(pieces):
+            assert offset == end
+            end += length
+        assert end <= 64
+
+
+def test_an_empty_table(odd_docs):
+    assert pack(odd_docs.limit(0)).count() == 0
