@@ -1,7 +1,9 @@
 """Links within buckets of an index, without pairing what is connected already.
 
-What differs between joins is given by a subclass: which sizes may be linked, which
-pairs a summary rules out, and how pairs are verified.
+What differs between joins is given by a subclass: which nodes may be linked by their
+sizes and summaries, and how pairs are verified. A summary has a bit for whether the
+number of elements with some hash is odd; two nodes that differ in d elements differ in
+at most d bits. It is looked at while buckets are joined, so that few pairs come out.
 """
 
 from __future__ import annotations
@@ -19,50 +21,58 @@ SMALL_BUCKET = 32
 class BucketJoin:
     """The steps of one join; tables that several steps read lie in the scratch folder."""
 
-    #: SQL over a_n and b_n: the sizes of nodes that may be linked.
-    close_sizes = "true"
+    #: SQL over a_n, b_n, a_bits and b_bits: the nodes that may be linked.
+    close = "true"
 
     def __init__(self, scratch: Scratch):
         self.scratch = scratch
 
-    def possible(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Distinct pairs a, b that may be links."""
-        return pairs.select("a", "b").distinct()
-
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The links a, b among the pairs, stored."""
         raise NotImplementedError
 
-    def links(self, index: DataFrame, nodes: DataFrame) -> DataFrame:
-        """Links that connect all nodes which a chain of similar pairs connects. `index` has signature, node and n."""
+    def links(self, nodes: DataFrame) -> DataFrame:
+        """Links that connect all nodes which a chain of similar pairs connects.
+
+        `nodes` has node, n, bits and heads, the signatures of the node.
+        """
+        index = nodes.select("node", "n", F.explode("heads").alias("signature"))
         counts = index.groupBy("signature").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-        buckets = self.scratch.write(index.join(counts, "signature"), "buckets")
+        buckets = index.join(counts, "signature").join(nodes.select("node", "bits"), "node")
+        buckets = self.scratch.write(buckets, "buckets")
         small, large = buckets.filter(f"members <= {SMALL_BUCKET}"), buckets.filter(f"members > {SMALL_BUCKET}")
-        within = paired(small, small, "a < b").filter(self.close_sizes)
+        within = paired(small, small, f"a < b and {self.close}").distinct()
         # in a large bucket all are compared with one; the order of nodes is the same in all buckets
-        first = large.groupBy("signature").agg(F.min(F.struct(F.xxhash64("node"), "node", "n")).alias("first"))
-        hubs = first.select("signature", "first.node", "first.n")
-        with_hub = paired(hubs, large, "a <> b").filter(self.close_sizes)
-        found = self.verified(self.possible(within.select("a", "b").unionByName(with_hub.select("a", "b")), nodes), nodes, "first")
+        first = large.groupBy("signature").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "bits")).alias("first"))
+        hubs = first.select("signature", "first.node", "first.n", "first.bits")
+        with_hub = paired(hubs, large, f"a <> b and {self.close}").distinct()
+        found = self.verified(within.unionByName(with_hub).distinct(), nodes, "first")
         # what is left are buckets with nodes that aren't connected yet
-        labels = components(found)
-        labelled = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labelled = self.scratch.write(labelled.select("signature", "node", "n", "label"), "labelled")
+        labelled = large.join(components(found), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = self.scratch.write(labelled.select("signature", "node", "n", "bits", "label"), "labelled")
         per_label = labelled.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
         main = per_label.groupBy("signature").agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-        open_ = self.scratch.write(labelled.join(main.filter("labels > 1"), "signature"), "open")
-        rest = paired(open_.filter("label <> main"), open_, "a_label <> b_label and (b_label = b_main or a < b)").filter(self.close_sizes)
-        rest = rest.select("a", "b").distinct()
+        open_ = labelled.join(main.filter("labels > 1"), "signature").join(nodes.select("node", "heads"), "node")
+        open_ = self.scratch.write(open_, "open")
+        # a pair is taken from one of the buckets that it shares
+        apart = f"a_label <> b_label and (b_label = b_main or a < b) and {self.close}"
+        rest = paired(open_.filter("label <> main"), open_, f"{apart} and array_min(array_intersect(a_heads, b_heads)) = signature")
+        rest = self.scratch.write(rest.distinct(), "rest")
         if rest.isEmpty():
             return found
-        return found.unionByName(self.verified(self.possible(rest, nodes), nodes, "rest"))
+        return found.unionByName(self.verified(rest, nodes, "rest"))
+
+
+def hamming(longs: int) -> str:
+    """SQL for the bits in which a_bits and b_bits differ."""
+    return "(" + " + ".join(f"bit_count(a_bits[{i}] ^ b_bits[{i}])" for i in range(longs)) + ")"
 
 
 def paired(one: DataFrame, other: DataFrame, condition: str) -> DataFrame:
-    """Rows of both tables with one signature; columns get the prefixes a and b, `node` becomes a and b itself."""
+    """Pairs a, b of rows with one signature. In the condition, columns have the prefix a_ or b_; `node` is a and b itself."""
 
     def prefixed(df: DataFrame, by: str) -> DataFrame:
         names = {c: by if c == "node" else f"{by}_{c}" for c in df.columns if c != "signature"}
         return df.select("signature", *(F.col(c).alias(n) for c, n in names.items()))
 
-    return prefixed(one, "a").join(prefixed(other, "b"), "signature").filter(condition)
+    return prefixed(one, "a").join(prefixed(other, "b"), "signature").filter(condition).select("a", "b")

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Groups that are numbered on their own inside a key, so that no key is one task's work.
 PARTS = 1024
+#: Rows of at most about 50 bytes that are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,6 +52,18 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sent_whole_if_small(df: DataFrame, rows: str = "1", most: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, a stored table of short rows, marked for broadcast if it has at most `most` rows.
+
+    `rows` is SQL for what one of its rows counts, if that is more than one.
+
+    So a large table on the other side isn't shuffled to meet a few rows. With more rows
+    Spark joins by shuffling both.
+    """
+    total = df.agg(F.coalesce(F.sum(F.expr(rows)), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= most else df
+
+
 def part_of(*cols: Column, parts: int = PARTS) -> Column:
     """A number below `parts` that depends on the values only."""
     return F.pmod(F.xxhash64(*cols), F.lit(parts)).cast("int")

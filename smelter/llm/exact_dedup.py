@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from smelter.llm.common import Scratch, durable
+from smelter.llm.common import Scratch, durable, sent_whole_if_small
 from smelter.llm.words import LOWER
 
 #: Rows that a partition sends as one set of lists.
@@ -151,8 +151,8 @@ def exact_duplicates(docs: DataFrame, keep_bits: int = 64) -> DataFrame:
         bitmaps = bitmaps.applyInPandas(answer, "chunk long, owner int, bitmap binary")
         received = sent.select("chunk", "owner", "docs").join(bitmaps, ["chunk", "owner"]).select("bitmap", "docs")
         rows = scratch.write(received.mapInArrow(receive, "doc_id long, text_sha256 string, suspect boolean"), "rows")
-        wanted = rows.filter("suspect").select(F.col("doc_id").alias("wanted_id")).distinct()
-        texts = slim.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+        wanted = durable(rows.filter("suspect").select(F.col("doc_id").alias("wanted_id")).distinct())
+        texts = slim.join(sent_whole_if_small(wanted), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
         lowered = F.translate(F.coalesce("text", F.lit("")), UPPER_CASE, LOWER_CASE)
         # equal bytes meet in one group; copies in a task become one row before the shuffle
         compared = texts.select("doc_id", lowered.alias("lowered")).groupBy("lowered").agg(
@@ -196,7 +196,7 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
         same_text = F.instr(F.col(f"{right}.text_sha256"), lowered) == 1
         return F.col("d.doc_id").eqNullSafe(F.col(f"{right}.doc_id")) & same_text
 
-    gone = per_row.filter("not kept or rows > 1")
+    gone = sent_whole_if_small(durable(per_row.filter("not kept or rows > 1")))
     left = docs.alias("d").join(gone.alias("g"), meets("g"), "left_anti")
     # of rows that are repeated whole, one comes back
     tied = per_row.filter("kept and rows > 1").withColumn("one", F.xxhash64("doc_id", "text_sha256"))

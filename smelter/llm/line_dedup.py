@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.bucket_join import BucketJoin
-from smelter.llm.common import Scratch, durable
+from smelter.llm.bucket_join import BucketJoin, hamming
+from smelter.llm.common import Scratch, durable, sent_whole_if_small
 from smelter.llm.components import components
 from smelter.llm.words import FACTOR, mix, powers
 
@@ -27,7 +27,11 @@ EDITS, SHORTEST = 2, 20
 PER_PLACE = 512
 WHITE = " \t\n\x0b\x0c\r"
 INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
-LINES = "doc_id long, at int, lid binary, line string"
+LINES = "doc_id long, at int, lid binary, n long, heads array<long>, bits array<long>"
+#: 64-bit words of a line's summary.
+LONGS = 2
+#: Characters of new lines that are hashed together.
+STRETCH = 1 << 18
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -104,64 +108,100 @@ def windows(length: int, edits: int, known: dict = {}) -> np.ndarray:  # noqa: B
     return known[length, edits]
 
 
-def signatures(line: str, edits: int) -> np.ndarray:
-    """A hash for each of the line's windows: which segment of what length it may be, and its characters."""
-    found = windows(len(line), edits)
-    codes = mix(np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1))
+def signatures(lines: list[str], edits: int) -> list[np.ndarray]:
+    """For each line a hash for each of its windows: which segment of what length it may be, and its characters."""
+    if not lines:
+        return []
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
     # sums of characters times powers give the hash of a substring as a difference, wherever it stands
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(codes * powers(len(codes)), dtype=np.uint64)])
-    start, end = found[:, 1], found[:, 2]
+    sizes = [len(line) for line in lines]
+    found = [windows(size, edits) for size in sizes]
+    counts = [len(f) for f in found]
+    every = np.concatenate(found)
+    moved = np.repeat(np.cumsum([0, *sizes[:-1]]), counts)
+    start, end = every[:, 1] + moved, every[:, 2] + moved
     inside = (sums[end] - sums[start]) * powers(len(codes), INVERSE)[start]
-    return np.unique(mix(inside + mix(found[:, 0].astype(np.uint64) + np.uint64(1))))
+    hashes = mix(inside + mix(every[:, 0].astype(np.uint64) + np.uint64(1)))
+    return np.split(hashes, np.cumsum(counts[:-1]))
 
 
-def splitter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each line with a word: its place, identity and trimmed text; the text just once in a task."""
-    seen: set[bytes] = set()
-    for batch in batches:
-        ids, places, lids, lines = [], [], [], []
-        size = 0
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            for at, line in enumerate((text.as_py() or "").split("\n")):
-                line = line.strip(WHITE)
-                if not line:
-                    continue
-                lid = hashlib.blake2b(line.encode(), digest_size=16).digest()
-                ids.append(doc_id), places.append(at), lids.append(lid)
-                lines.append(None if lid in seen else line)
-                seen.add(lid)
-                size += len(line)
-                if size > 1 << 24:
-                    yield lines_batch(ids, places, lids, lines)
-                    ids, places, lids, lines, size = [], [], [], [], 0
-        yield lines_batch(ids, places, lids, lines)
-
-
-def lines_batch(ids: list, places: list, lids: list, lines: list) -> pa.RecordBatch:
-    columns = [pa.array(ids, pa.int64()), pa.array(places, pa.int32()), pa.array(lids, pa.binary()), pa.array(lines, pa.string())]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "at", "lid", "line"])
-
-
-def indexer(edits: int):
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, nodes, sizes = [np.zeros(0, np.uint64)], [], []
-            for node, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = signatures(line, edits)
-                found.append(got)
-                nodes.append(node)
-                sizes.append((len(got), len(line)))
-            counts = np.array([s for s, _ in sizes], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate(found).view(np.int64)),
-                    pa.array(np.repeat(np.array(nodes, np.int64), counts)),
-                    pa.array(np.repeat(np.array([n for _, n in sizes], np.int64), counts)),
-                ],
-                ["signature", "node", "n"],
-            )
+def summaries(lines: list[str]) -> list[np.ndarray]:
+    """For each line the bits that tell of which characters it has an odd number."""
+    if not lines:
+        return []
+    width = 64 * LONGS
+    codes = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) % width
+    line = np.repeat(np.arange(len(lines)), [len(x) for x in lines])
+    odd = np.bincount(line * width + codes, minlength=len(lines) * width) & 1
+    return list(np.packbits(odd.astype(np.uint8).reshape(len(lines), width), axis=1).view(np.int64))
+
+
+def identity(line: str) -> bytes:
+    return hashlib.blake2b(line.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
+    """Place and trimmed text of each line with a word."""
+    for at, line in enumerate((text or "").split("\n")):
+        if line := line.strip(WHITE):
+            yield at, line
+
 
-    return index
+def splitter(edits: int, shortest: int):
+    """Each line's place, identity and length; its signatures just once in a task."""
+    schema = pa.schema([("doc_id", pa.int64()), ("at", pa.int32()), ("lid", pa.binary()), ("n", pa.int64()), ("heads", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+
+    def pack(rows: list, new: list) -> pa.RecordBatch:
+        lines = [line for _, line in new]
+        at = [i for i, _ in new]
+
+        def lists(values: list[np.ndarray]) -> pa.Array:
+            """The values as a list in the rows of new lines, null in the others."""
+            sizes = np.zeros(len(rows), np.int64)
+            sizes[at] = [len(v) for v in values]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.append(sizes == 0, False))
+            return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
+
+        heads = lists([s.view(np.int64) for s in signatures(lines, edits)])
+        columns = zip(*rows) if rows else [[], [], [], []]
+        arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
+        return pa.RecordBatch.from_arrays([*arrays, heads, lists(summaries(lines))], schema=schema)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            rows, new, size = [], [], 0
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for at, line in lines_of(text.as_py()):
+                    lid = identity(line)
+                    if len(line) >= shortest and lid not in seen:
+                        seen.add(lid)
+                        new.append((len(rows), line))
+                        size += len(line)
+                    rows.append((doc_id, at, lid, len(line)))
+                    if size > STRETCH:
+                        yield pack(rows, new)
+                        rows, new, size = [], [], 0
+            yield pack(rows, new)
+
+    return split
+
+
+def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The lines that were asked for, by their place and identity."""
+    for batch in batches:
+        nodes, lines = [], []
+        for text, asked in zip(batch.column(0), batch.column(1).to_pylist()):
+            wanted = {}
+            for a in asked:
+                wanted.setdefault(a["at"], []).append(a)
+            for at, line in lines_of(text.as_py()):
+                for a in wanted.get(at, ()):
+                    if a["lid"] == identity(line):
+                        nodes.append(a["node"])
+                        lines.append(line)
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(lines, pa.string())], ["node", "line"])
 
 
 def comparer(edits: int):
@@ -184,15 +224,19 @@ def comparer(edits: int):
 class LineJoin(BucketJoin):
     """Lines, verified by edit distance."""
 
-    def __init__(self, scratch: Scratch, edits: int):
+    def __init__(self, docs: DataFrame, scratch: Scratch, edits: int):
         super().__init__(scratch)
-        self.edits = edits
-        self.close_sizes = f"abs(a_n - b_n) <= {edits}"
+        self.docs, self.edits = docs, edits
+        # an edit takes a character, puts one in, or does both
+        self.close = f"abs(a_n - b_n) <= {edits} and {hamming(LONGS)} <= {2 * edits}"
 
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         pairs = self.scratch.write(pairs, f"{name}_pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        lines = self.scratch.write(nodes.select("node", "line").join(asked, "node", "left_semi"), f"{name}_lines")
+        asked = nodes.select("node", "lid", "rep_id", "at").join(asked, "node", "left_semi")
+        asked = self.scratch.write(asked.groupBy("rep_id").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")), f"{name}_asked")
+        texts = self.docs.join(sent_whole_if_small(asked, "size(asked)"), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "asked")
+        lines = self.scratch.write(texts.mapInArrow(fetch, "node long, line string"), f"{name}_lines")
         places = F.ceil(F.col("partners") / PER_PLACE)
         counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
         placed = counted.select("a", "b", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"))
@@ -216,17 +260,17 @@ def similar_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST)
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with Scratch(docs.sparkSession) as scratch:
-        found = scratch.write(slim.mapInArrow(splitter, LINES), "lines")
-        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at"))
-        texts = found.filter("line is not null").dropDuplicates(["lid"]).select("lid", "line")
+        found = scratch.write(slim.mapInArrow(splitter(edits, shortest), LINES), "lines")
+        texts = found.filter("heads is not null").dropDuplicates(["lid"]).withColumnRenamed("doc_id", "rep_id")
         nodes = scratch.write(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        index = nodes.filter(F.length("line") >= shortest).select("node", "line").mapInArrow(indexer(edits), "signature long, node long, n long")
-        labels = components(LineJoin(scratch, edits).links(index, nodes))
-        known = nodes.select("lid", "node").join(labels, "node", "left").select("lid", F.coalesce("label", "node").alias("label"))
+        labels = components(LineJoin(slim, scratch, edits).links(nodes))
+        # each line's first place, and that of the class for those that are linked
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at"))
         firsts = found.groupBy("lid").agg(first.alias("first"))
-        by_class = known.join(firsts, "lid")
-        smallest = by_class.groupBy("label").agg(F.min("first").alias("first"))
-        by_line = by_class.select("lid", "label").join(smallest, "label").select("lid", "first")
+        linked = nodes.select("lid", "node").join(labels, "node").select("lid", "label")
+        by_line = firsts.join(linked, "lid", "left")
+        smallest = by_line.filter("label is not null").groupBy("label").agg(F.min("first").alias("class_first"))
+        by_line = by_line.join(smallest, "label", "left").select("lid", F.coalesce("class_first", "first").alias("first"))
         return durable(
             found.select("doc_id", "at", "lid").join(by_line, "lid").select(
                 "doc_id", F.col("at").alias("line"), F.col("first.doc_id").alias("class_doc"), F.col("first.at").alias("class_line"),

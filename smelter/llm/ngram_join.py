@@ -17,19 +17,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.bucket_join import BucketJoin
-from smelter.llm.common import Scratch, durable
+from smelter.llm.bucket_join import BucketJoin, hamming
+from smelter.llm.common import Scratch, durable, sent_whole_if_small
 from smelter.llm.components import components
 from smelter.llm.words import LOWER, blocks, mix, shingles_of, word_hashes
 
-#: An element is frequent if it is in this many prefixes, and in one of FREQUENT_SHARE of all prefix elements;
-#: so at most FREQUENT_SHARE elements are.
-FREQUENT, FREQUENT_SHARE = 64, 65536
+#: An element is frequent if it is among the first ones of so many sets. A bit for each hash of FREQUENT_BITS
+#: bits keeps them; another element with such a hash counts as frequent too, which costs time, but no link.
+FREQUENT, FREQUENT_BITS = 4, 26
 #: Sets below this size use no pairs; above, a class of frequent elements has about so many of a set.
 PAIRED_SIZE, PER_CLASS = 16, 4
-#: Bins of the summary by which most pairs are ruled out, and the pairs that a held set is compared with in one place.
-BINS, PER_PLACE = 64, 512
-SETS = "doc_id long, n long, sid binary, summary binary, heads array<long>"
+#: 64-bit words of the summary by which most pairs are ruled out, and the pairs that a held set is compared with in one place.
+LONGS, PER_PLACE = 8, 512
+SETS = "doc_id long, n long, sid binary, bits array<long>, heads array<long>"
 
 
 def allowed_missing(n: int, num: int, den: int) -> int:
@@ -98,12 +98,10 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
     """Each document with its set's size, identity, summary and heads.
 
     The heads are what a set is indexed by, or, while nothing is known of frequent
-    elements, as many of its first elements. A set that a task has seen has none.
+    elements, its first elements: a quarter more than would do if none were frequent.
+    A set that a task has seen has none.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("summary", pa.binary()), ("heads", pa.list_(pa.int64()))])
-    near = np.zeros(1 << 20, bool)
-    if frequent is not None:
-        near[frequent >> np.uint64(44)] = True
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("bits", pa.list_(pa.int64())), ("heads", pa.list_(pa.int64()))])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -115,13 +113,15 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
                 if n and sid not in seen:
                     seen.add(sid)
                     if frequent is None:
-                        heads = elements[: allowed_missing(n, num, den) + 1]
+                        needed = allowed_missing(n, num, den) + 1
+                        heads = elements[: needed + needed // 4]
                     else:
-                        hot = near[elements >> np.uint64(44)]
-                        hot[hot] = np.isin(elements[hot], frequent)
-                        heads = signatures(elements, hot, num, den)
-                counts = np.bincount(elements & np.uint64(BINS - 1), minlength=BINS) if n <= 65535 else np.zeros(BINS)
-                for column, value in zip(columns[1:], (n, sid, counts.astype("<u2").tobytes(), None if heads is None else heads.view(np.int64))):
+                        at = elements >> np.uint64(64 - FREQUENT_BITS)
+                        bits = frequent[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
+                        heads = signatures(elements, (bits & 1).astype(bool), num, den)
+                odd = np.bincount((elements % np.uint64(64 * LONGS)).astype(np.int64), minlength=64 * LONGS) & 1
+                bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                for column, value in zip(columns[1:], (n, sid, bits, None if heads is None else heads.view(np.int64))):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([columns[0], *(pa.array(c, f.type) for c, f in zip(columns[1:], list(schema)[1:]))], schema=schema)
 
@@ -143,26 +143,6 @@ def fetcher(k: int):
     return fetch
 
 
-def rule_out(num: int, den: int):
-    """Pairs whose summaries differ so little that they may be similar.
-
-    Sets that differ in d elements have counts that differ by at most d in sum, and
-    similar ones differ in at most (den - num) / (den + num) of both sizes.
-    """
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            one, other = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, BINS).astype(np.int64) for i in (2, 3)
-            )
-            n = batch.column(4).to_numpy() + batch.column(5).to_numpy()
-            known = np.maximum(batch.column(4).to_numpy(), batch.column(5).to_numpy()) <= 65535
-            near = np.abs(one - other).sum(axis=1) * (den + num) <= (den - num) * n
-            yield batch.select([0, 1]).filter(pa.array(near | ~known))
-
-    return keep
-
-
 def compare(num: int, den: int):
     """Links among rows in the order of held set: first the set itself, then those to compare it with."""
 
@@ -190,39 +170,37 @@ class SetJoin(BucketJoin):
     def __init__(self, docs: DataFrame, scratch: Scratch, k: int, num: int, den: int):
         super().__init__(scratch)
         self.docs, self.k, self.num, self.den = docs, k, num, den
-        self.close_sizes = f"{num} * a_n <= {den} * b_n and {num} * b_n <= {den} * a_n"
+        # similar sets differ in at most (den - num) / (den + num) of both sizes
+        self.close = (
+            f"{num} * a_n <= {den} * b_n and {num} * b_n <= {den} * a_n"
+            f" and {hamming(LONGS)} * {den + num} <= {den - num} * (a_n + b_n)"
+        )
 
     def frequent(self, members: DataFrame) -> np.ndarray:
-        """The frequent elements; there are at most FREQUENT_SHARE."""
-        total = members.agg(F.coalesce(F.sum(F.size("heads")), F.lit(0))).first()[0]
-        limit = max(FREQUENT, -(-total // FREQUENT_SHARE))
-        counts = members.select(F.explode("heads").alias("element")).groupBy("element").count()
-        found = [row[0] for row in counts.filter(F.col("count") >= limit).select("element").collect()]
-        return np.sort(np.array(found, np.int64).view(np.uint64))
+        """The bits of the frequent elements: one row for each 32768 of them comes to the driver, however many elements there are."""
+        counts = members.select(F.explode("heads").alias("element")).groupBy("element").count().filter(f"count >= {FREQUENT}")
+        at = counts.select(F.shiftrightunsigned("element", 64 - FREQUENT_BITS).alias("at"))
+        parts = at.groupBy(F.floor(F.col("at") / 32768).alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
+        out = np.zeros(max(1 << FREQUENT_BITS, 32768) // 8, np.uint8)
+        for part, bits in parts.collect():
+            out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bytes(bits), np.uint8)
+        return out
 
     def nodes(self) -> tuple[DataFrame, DataFrame]:
         """Each document's set, and each distinct set once, with a number, its smallest doc_id, summary and signatures."""
         members = self.scratch.write(self.docs.mapInArrow(indexer(self.k, self.num, self.den, None), SETS), "members")
-        frequent = self.frequent(members)
-        indexed = self.docs.mapInArrow(indexer(self.k, self.num, self.den, frequent), SETS) if len(frequent) else members
-        with_heads = indexed.filter("heads is not null").select("sid", "summary", "heads")
+        indexed = self.docs.mapInArrow(indexer(self.k, self.num, self.den, self.frequent(members)), SETS)
+        with_heads = indexed.filter("heads is not null").select("sid", "bits", "heads")
         ids = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep_id"), F.first("n").alias("n"))
         nodes = with_heads.dropDuplicates(["sid"]).join(ids, "sid").withColumn("node", F.monotonically_increasing_id())
         return members.select("doc_id", "n", "sid"), self.scratch.write(nodes, "nodes")
 
-    def possible(self, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-        """The pairs that the summaries don't rule out."""
-        one = nodes.select(F.col("node").alias("a"), F.col("summary").alias("a_summary"), F.col("n").alias("a_n"))
-        other = nodes.select(F.col("node").alias("b"), F.col("summary").alias("b_summary"), F.col("n").alias("b_n"))
-        met = pairs.select("a", "b").distinct().join(one, "a").join(other, "b")
-        return met.select("a", "b", "a_summary", "b_summary", "a_n", "b_n").mapInArrow(rule_out(self.num, self.den), "a long, b long")
-
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The links among the pairs; a is held while its partners b pass by."""
         pairs = self.scratch.write(pairs, f"{name}_pairs")
         asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        asked = nodes.select("node", "sid", "rep_id").join(asked, "node", "left_semi")
-        texts = self.docs.join(asked, self.docs["doc_id"].eqNullSafe(asked["rep_id"])).select("text", "node", "sid")
+        asked = self.scratch.write(nodes.select("node", "sid", "rep_id").join(asked, "node", "left_semi"), f"{name}_asked")
+        texts = self.docs.join(sent_whole_if_small(asked), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "node", "sid")
         sets = self.scratch.write(texts.mapInArrow(fetcher(self.k), "node long, elements binary"), f"{name}_sets")
         places = F.ceil(F.col("partners") / PER_PLACE)
         counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
@@ -249,7 +227,7 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     with Scratch(docs.sparkSession) as scratch:
         join = SetJoin(slim, scratch, k, num, den)
         members, nodes = join.nodes()
-        labels = components(join.links(nodes.select("node", "n", F.explode("heads").alias("signature")), nodes))
+        labels = components(join.links(nodes))
         known = nodes.select("node", "sid", "rep_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         smallest = known.groupBy("label").agg(F.min("rep_id").alias("component_id"))
         by_set = known.join(smallest, "label").select("sid", "component_id")
@@ -267,4 +245,5 @@ def drop_similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     """
     found = similar_documents(docs, k, num, den)
     gone = found.filter("component_id < doc_id or doc_id is null and component_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = sent_whole_if_small(durable(gone))
     return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")

@@ -45,7 +45,8 @@ def test_lines_within_the_distance_share_a_signature():
         edits = rng.randint(1, 3)
         a = "".join(rng.choice("abcd") for _ in range(rng.randint(8, 30)))
         b = changed(rng, a, rng.randint(0, edits), "abcd")
-        assert {*signatures(a, edits).tolist()} & {*signatures(b, edits).tolist()}
+        one, other = ({*found.tolist()} for found in signatures([a, b], edits))
+        assert one & other and one == {*signatures([b, a], edits)[1].tolist()}
     assert segments(11, 2) == [(0, 3), (3, 4), (7, 4)]
 
 
