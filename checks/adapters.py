@@ -15,7 +15,7 @@ RAW_VIEWS = {
           case cast(o_orderkey % 20 as int) when 0 then 'canceled' when 1 then 'unavailable' when 2 then 'shipped'
             when 3 then 'processing' when 4 then 'invoiced' when 5 then 'approved' when 6 then 'created'
             when 7 then 'on_hold' else 'delivered' end as order_status,
-          o_orderdate + interval '1' second * cast(o_orderkey * 7919 % 86400 as int) as order_purchase_timestamp,
+          case when o_orderkey % 67 <> 0 then o_orderdate + interval '1' second * cast(o_orderkey * 7919 % 86400 as int) end as order_purchase_timestamp,
           o_orderdate + interval '1' day as order_approved_at,
           case when o_orderkey % 20 >= 8 then o_orderdate + interval '1' day * cast(o_orderkey % 5 + 1 as int) end as order_delivered_carrier_date,
           case when o_orderkey % 20 >= 8 then o_orderdate + interval '1' hour * cast((o_orderkey % 25 + 6) * 23 as int) end as order_delivered_customer_date,
@@ -28,15 +28,17 @@ RAW_VIEWS = {
           case when l_partkey % 97 = 0 then null when l_partkey % 89 = 1 then cast(l_partkey - 1 as string) else cast(l_partkey as string) end as product_id,
           cast(case when l_suppkey % 10 = 9 then l_suppkey - 1 else l_suppkey end as string) as seller_id,
           cast(cast(l_extendedprice as decimal(10,2)) * case cast(l_suppkey % 4 as int) when 0 then cast(0.1 as decimal(8,4))
-            when 1 then cast(0.0025 as decimal(8,4)) when 2 then cast(0.001 as decimal(8,4)) else cast(0.0001 as decimal(8,4)) end as decimal(10,2)) as price,
-          cast(cast(l_quantity as decimal(10,2)) * cast(0.37 as decimal(4,2)) as decimal(10,2)) as freight_value,
+            when 1 then cast(0.0025 as decimal(8,4)) when 2 then cast(0.001 as decimal(8,4)) else cast(0.0001 as decimal(8,4)) end as decimal(10,2))
+            + case when l_orderkey % 59 = 0 then cast(0.005 as decimal(5,3)) else cast(0 as decimal(5,3)) end as price,
+          cast(cast(l_quantity as decimal(10,2)) * cast(0.37 as decimal(4,2)) as decimal(10,2))
+            + case when l_orderkey % 59 = 0 then cast(0.005 as decimal(5,3)) else cast(0 as decimal(5,3)) end as freight_value,
           l_shipdate as shipping_limit_date
         from lineitem
     """,
     "raw_order_payments": """
         select cast(o_orderkey as string) as order_id, 1 as payment_sequential,
-          case o_orderpriority when '1-URGENT' then 'credit_card' when '2-HIGH' then 'boleto' when '3-MEDIUM' then 'voucher'
-            when '5-LOW' then 'debit_card' else 'not_defined' end as payment_type,
+          case when o_orderkey % 71 = 0 then null when o_orderpriority = '1-URGENT' then 'credit_card' when o_orderpriority = '2-HIGH' then 'boleto' when o_orderpriority = '3-MEDIUM' then 'voucher'
+            when o_orderpriority = '5-LOW' then 'debit_card' else 'not_defined' end as payment_type,
           cast(o_orderkey % 10 + 1 as int) as payment_installments, cast(o_totalprice as decimal(10,2)) as payment_value
         from orders
         union all

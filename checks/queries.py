@@ -8,6 +8,7 @@ times are dropped, decimals and times are given the types both engines share.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -15,11 +16,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from checks.adapters import RAW_INPUTS, RAW_VIEWS, TEST_TABLES
 from smelter.functions import columns as C
 from smelter.operators.audit import audit
-from smelter.operators.merge import latest_per_key, upsert
+from smelter.operators.merge import latest_per_file, latest_per_key, replace_from, upsert
 from smelter.plans import gold
 from smelter.plans.steps import GOLD_CHECKS, SILVER_CHECKS, STEPS, derive
-from smelter.schemas import RAW_TABLES
-from smelter.sources.csv import EXTRACTED_AT, stamp_lineage
+from smelter.schemas import FACT_TIMES, PARTITIONS, RAW_TABLES
+from smelter.sources.csv import EXTRACTED_AT, SOURCE_PATH, stamp_lineage
 from smelter.sources.lake import preview
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,6 +151,55 @@ def upsert_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(upsert(target, updates, ["customer_id"]))
 
 
+def newest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places from two folders whose files have one name; the first one's was extracted twice."""
+    places = raw_view(spark, sf_dir, "raw_geolocation")
+
+    def extracted(rows: DataFrame, folder: str, day: str) -> DataFrame:
+        stamped = stamp_lineage(rows, F.lit("part-0.csv"), F.lit(f"{folder}/part-0.csv"))
+        return stamped.withColumn(EXTRACTED_AT, F.lit(day).cast("timestamp"))
+
+    even = places.filter(F.col("geolocation_zip_code_prefix").cast("int") % 2 == 0)
+    history = extracted(places, "a", "2024-01-01").unionByName(extracted(even, "a", "2024-01-02"))
+    history = history.unionByName(extracted(places, "b", "2024-01-01"))
+    return comparable(latest_per_file(history).drop(SOURCE_PATH))
+
+
+def upsert_dim_payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment types as of the first payments, upserted with those of all; both know a null type."""
+    payments = derive("stg_order_payments", partial(raw_table, spark, sf_dir))
+    first = payments.filter("payment_sequential = 1")
+    target, updates = gold.dim_payment_types(first), gold.dim_payment_types(payments)
+    return comparable(upsert(upsert(target, updates, ["payment_type"]), updates, ["payment_type"]))
+
+
+def since_query(fact: str) -> Query:
+    """A fact of the first batch with the months of the second rebuilt.
+
+    What the first state has of these months, and of rows without a time, is out of
+    date: other keys, and each row twice.
+    """
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = partial(raw_table, spark, sf_dir)
+        step, (source, time) = STEPS[fact], FACT_TIMES[fact]
+        inputs = {name: derive(name, raw) for name in step.inputs}
+        month = F.expr(*PARTITIONS[fact].values())
+        start = date.fromisoformat(SECOND_BATCH_FROM[:10])
+        later = (F.col(time) >= F.lit(start)) | F.col(time).isNull()
+
+        def built(rows) -> DataFrame:
+            return step.build(*(rows(df) if n == source else df for n, df in inputs.items()))
+
+        rebuilt = built(lambda df: df.filter(later))
+        key = step.key[0]
+        stale = rebuilt.withColumn(key, F.concat(F.lit("old-"), key))
+        first = built(lambda df: df.filter(~later)).unionByName(stale).unionByName(rebuilt)
+        return comparable(replace_from(first, rebuilt, month, start.year * 100 + start.month))
+
+    return run
+
+
 def audit_query(checks) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made: dict[str, DataFrame] = {}
@@ -170,7 +220,11 @@ QUERIES: dict[str, Query] = {
     "preview_products": preview_products,
     "clean_locations": clean_locations,
     "latest_per_key": newest_orders,
+    "latest_per_file": newest_files,
     "upsert_dim_customers": upsert_dim_customers,
+    "upsert_dim_payment_types": upsert_dim_payment_types,
+    "since_fct_sales": since_query("fct_sales"),
+    "since_fct_order_reviews": since_query("fct_order_reviews"),
     "audit_silver": audit_query(SILVER_CHECKS),
     "audit_gold": audit_query(GOLD_CHECKS),
 }

@@ -5,9 +5,12 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from smelter.plans.runner import Options, audit_lake, export_gold, run_all
+from smelter.plans.runner import Options, audit_lake, export_gold, mart, run_all, run_layer
+from smelter.plans.steps import LAYERS, MARTS
+from smelter.schemas import RAW_TABLES
 from smelter.session import get_session
-from smelter.sources.lake import Lake, tables
+from smelter.sources.lake import Lake, preview_with_count, tables
+from smelter.streaming.append import append_new_files
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -22,7 +25,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--tidy", action="store_true", help="trim and even out place names")
     parser.add_argument("--jdbc-url", help="SQL store to export the gold tables to")
     parser.add_argument("--jdbc-driver", help="driver class of the SQL store")
+    parser.add_argument("--layer", choices=LAYERS, help="build this layer only")
+    parser.add_argument("--table", action="append", help="with --layer: this table only; repeatable")
+    parser.add_argument("--stream", action="store_true", help="take in new raw files, each once, and stop")
+    parser.add_argument("--mart", choices=MARTS, help="show a mart of the stored lake and stop")
+    parser.add_argument("--preview", help="show first rows and row count of a stored table and stop")
+    parser.add_argument("--workers", type=int, default=4, help="tables built at the same time")
+    parser.add_argument("--lenient", action="store_true", help="go on after a layer with failures")
+    parser.add_argument("--shuffle-partitions", type=int, help="instead of a number from input sizes")
     args = parser.parse_args(argv)
+    if args.table and not args.layer:
+        parser.error("--table needs --layer")
+    if args.since and not args.upsert:
+        parser.error("--since needs --upsert")
 
     spark = get_session()
     lake = Lake(args.lake)
@@ -33,13 +48,38 @@ def main(argv: list[str] | None = None) -> None:
         infer=args.infer,
         multiline=args.multiline,
         tidy=args.tidy,
+        workers=args.workers,
+        strict=not args.lenient,
+        shuffle_partitions=args.shuffle_partitions,
     )
-    run_all(spark, args.raw, lake, options).show(100, truncate=False)
+    if args.mart:
+        mart(spark, lake, args.mart).show(1000, truncate=False)
+        return
+    if args.preview:
+        first, count = preview_with_count(lake.read(spark, args.preview))
+        first.show(truncate=False)
+        print(f"{count} rows")
+        return
+    if args.stream:
+        for table in args.table or RAW_TABLES:
+            append_new_files(spark, args.raw, lake, table, args.multiline).awaitTermination()
+        return
+    if args.layer:
+        done = [run_layer(spark, args.layer, lake, args.raw, options, args.table)]
+    else:
+        done = [run_all(spark, args.raw, lake, options)]
     if args.jdbc_url:
         properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
-        export_gold(spark, lake, args.jdbc_url, properties).show(100, truncate=False)
+        done.append(export_gold(spark, lake, args.jdbc_url, properties))
+    failed = 0
+    for summary in done:
+        summary.show(100, truncate=False)
+        failed += summary.filter("status = 'failed'").count()
     tables(spark, lake).groupBy("layer").count().show()
-    audit_lake(spark, lake).show(200, truncate=False)
+    if not args.layer:
+        audit_lake(spark, lake).show(200, truncate=False)
+    if failed:
+        raise SystemExit(f"{failed} tables failed")
 
 
 if __name__ == "__main__":

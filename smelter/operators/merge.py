@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from smelter.sinks.parquet import recover, replace_table
-from smelter.sources.csv import EXTRACTED_AT, SOURCE_FILE
+from smelter.sources.csv import EXTRACTED_AT, SOURCE_FILE, SOURCE_PATH
 
 
 def latest_per_key(
@@ -30,20 +32,36 @@ def latest_per_file(df: DataFrame, extracts: DataFrame | None = None) -> DataFra
     """Keep the rows of the newest extract of each source file.
 
     For rows without a key: extracting a file again replaces its rows, and
-    equal rows within one extract are all kept. `extracts` holds all rows of the
-    extracts when `df` is only a part of them.
+    equal rows within one extract are all kept. A file is known by its whole path
+    where that was stamped, as folders reuse names. `extracts` holds all rows of
+    the extracts when `df` is only a part of them.
     """
+
+    def file_of(rows: DataFrame) -> Column:
+        named = rows[SOURCE_FILE]
+        return F.coalesce(rows[SOURCE_PATH], named) if SOURCE_PATH in rows.columns else named
+
     seen = df if extracts is None else extracts
-    newest = seen.groupBy(SOURCE_FILE).agg(F.max(EXTRACTED_AT).alias(EXTRACTED_AT))
-    return df.join(newest, [SOURCE_FILE, EXTRACTED_AT], "left_semi").select(df.columns)
+    newest = seen.groupBy(file_of(seen).alias("_file")).agg(F.max(EXTRACTED_AT).alias("_newest"))
+    same = file_of(df).eqNullSafe(newest["_file"]) & (df[EXTRACTED_AT] == newest["_newest"])
+    return df.join(newest, same, "left_semi")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of `updates`, plus the rows of `target` whose key is not among them."""
-    changed = updates.select(*keys).distinct()
-    return target.join(changed, list(keys), "left_anti").select(target.columns).unionByName(
-        updates
-    )
+    """Rows of `updates`, plus the rows of `target` whose key is not among them.
+
+    Nulls in a key are equal to each other, so a row without a key is replaced too.
+    """
+    changed = updates.select(*(F.col(k).alias(f"_{k}") for k in keys)).distinct()
+    same = reduce(and_, (target[k].eqNullSafe(changed[f"_{k}"]) for k in keys))
+    return target.join(changed, same, "left_anti").unionByName(updates)
+
+
+def replace_from(
+    target: DataFrame, rebuilt: DataFrame, month: Column, first: int
+) -> DataFrame:
+    """`target` with all months from `first` on, and rows without a month, taken from `rebuilt`."""
+    return target.filter(month < first).unionByName(rebuilt)
 
 
 def upsert_table(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from smelter.operators.merge import latest_per_file, latest_per_key
 from smelter.schemas import RAW_TABLES
-from smelter.sources.csv import file_name, raw_location, read_csv, stamp_lineage
+from smelter.sources.csv import file_name, file_path, raw_location, read_csv, stamp_lineage
 from smelter.sources.lake import Lake
 
 
@@ -22,7 +22,7 @@ def extract(
     """One raw table, each row stamped with the time and the file it came from."""
     spec = RAW_TABLES[table]
     scanned = read_csv(spark, raw_location(raw_root, spec), spec, infer, multiline)
-    return stamp_lineage(scanned, file_name())
+    return stamp_lineage(scanned, file_name(), file_path())
 
 
 def current(spark: SparkSession, lake: Lake, table: str) -> DataFrame:

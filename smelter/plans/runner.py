@@ -9,7 +9,7 @@ from datetime import date
 from typing import NamedTuple
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from smelter.operators.audit import audit
 from smelter.operators.merge import upsert_table
@@ -17,10 +17,14 @@ from smelter.plans import bronze
 from smelter.plans.steps import GOLD, GOLD_CHECKS, LAYERS, MARTS, SILVER, SILVER_CHECKS
 from smelter.schemas import APPEND_PARTITIONS, FACT_TIMES, PARTITIONS, RAW_TABLES
 from smelter.sinks.jdbc import export_table
-from smelter.sinks.parquet import recover, write_table
-from smelter.sources.lake import Lake, exists
+from smelter.session import shuffle_partitions
+from smelter.sinks.parquet import recover, replace_months, replace_table, write_table
+from smelter.sources.csv import SOURCE_PATH, UNPARSED, raw_location
+from smelter.sources.lake import Lake, exists, size
 
-SUMMARY = "layer string, table string, rows long, status string, error string"
+SUMMARY = "layer string, table string, rows long, status string, error string, unparsed long"
+# Rows in memory take about this many times their bytes in a stored file.
+IN_MEMORY = 4
 
 
 class Outcome(NamedTuple):
@@ -29,6 +33,12 @@ class Outcome(NamedTuple):
     rows: int
     status: str  # ok, failed or skipped
     error: str | None = None
+    unparsed: int | None = None  # raw lines with a value that is none of its type
+
+
+class Written(NamedTuple):
+    rows: int
+    unparsed: int
 
 
 class LayerFailed(RuntimeError):
@@ -46,10 +56,12 @@ class Options:
 
     bronze_append  keep earlier extracts and let silver read the newest rows
     gold_upsert    update and insert by key instead of replacing gold tables
-    facts_since    rebuild only the facts of this month and later (with gold_upsert)
+    facts_since    rebuild only the facts of this month and later, and those without
+                   a time (needs gold_upsert)
     infer, multiline, tidy   see read_csv and the silver place names
     workers        tables of one layer built at the same time
     strict         raise after a layer in which a table failed
+    shuffle_partitions   of each layer; by default from the bytes it reads
     """
 
     bronze_append: bool = False
@@ -60,23 +72,30 @@ class Options:
     tidy: bool = False
     workers: int = 4
     strict: bool = True
+    shuffle_partitions: int | None = None
 
+    def __post_init__(self) -> None:
+        if self.facts_since and not self.gold_upsert:
+            raise ValueError("facts_since needs gold_upsert: without it, all facts are rebuilt")
 
-def _attempt(layer: str, table: str, work: Callable[[], int | None]) -> Outcome:
+
+def _attempt(layer: str, table: str, work: Callable[[], Written | int | None]) -> Outcome:
     try:
-        rows = work()
+        done = work()
     except Exception as error:  # one broken table must not stop the others
-        return Outcome(layer, table, 0, "failed", str(error).splitlines()[0])
-    if rows is None:
+        text = str(error).strip() or type(error).__name__
+        return Outcome(layer, table, 0, "failed", text.splitlines()[0])
+    if done is None:
         return Outcome(layer, table, 0, "skipped")
-    return Outcome(layer, table, rows, "ok")
+    rows, unparsed = done if isinstance(done, tuple) else (done, None)
+    return Outcome(layer, table, rows, "ok", None, unparsed)
 
 
 def _attempt_all(
     spark: SparkSession,
     layer: str,
     tables: Iterable[str],
-    work: Callable[[str], int | None],
+    work: Callable[[str], Written | int | None],
     workers: int = 1,
     strict: bool = False,
 ) -> DataFrame:
@@ -94,21 +113,29 @@ def _with_layout(df: DataFrame, layout: Mapping[str, str]) -> DataFrame:
 
 def store_bronze(
     spark: SparkSession, lake: Lake, raw_root: str, table: str, options: Options
-) -> int:
+) -> Written | int:
     df = bronze.extract(spark, raw_root, table, options.infer, options.multiline)
-    if not options.bronze_append:
-        return write_table(df, lake.path(table))
-    dated = _with_layout(df, APPEND_PARTITIONS)  # all rows of a run share one folder
-    return write_table(
-        dated, lake.path(table), "append", tuple(APPEND_PARTITIONS), rebalance=False
-    )
+    failures = None
+    if UNPARSED in df.columns:
+        failures = Observation()
+        df = df.observe(failures, F.count(UNPARSED).alias("unparsed"))
+    if options.bronze_append:
+        dated = _with_layout(df, APPEND_PARTITIONS)  # all rows of a run share one folder
+        rows = write_table(
+            dated, lake.path(table), "append", tuple(APPEND_PARTITIONS), rebalance=False
+        )
+    else:
+        rows = write_table(df, lake.path(table))
+        lake.forget_stream(spark, table)
+    return rows if failures is None else Written(rows, int(failures.get["unparsed"]))
 
 
 def _silver_input(
     spark: SparkSession, lake: Lake, options: Options
 ) -> Callable[[str], DataFrame]:
     def read(table: str) -> DataFrame:
-        if options.bronze_append and table in RAW_TABLES:
+        streamed = table in RAW_TABLES and exists(spark, lake.stream_path(table))
+        if streamed or (options.bronze_append and table in RAW_TABLES):
             return bronze.current(spark, lake, table)
         return lake.read(spark, table)
 
@@ -129,15 +156,19 @@ def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) ->
     update = options.gold_upsert and exists(spark, path)
 
     if layout:
+        (column,) = layout
+        if not (update and options.facts_since):
+            # all rows are built anew, so all months are replaced
+            df = _with_layout(step.build(*inputs), layout)
+            return replace_table(spark, df, path, partition_by=(column,))
         # Months are replaced as a whole: an upsert that neither joins nor
         # rewrites the months that stay as they are.
-        if update and options.facts_since:
-            source, time = FACT_TIMES[table]
-            first = F.lit(options.facts_since.replace(day=1))
-            at = step.inputs.index(source)
-            inputs[at] = inputs[at].filter(F.col(time) >= first)
+        source, time = FACT_TIMES[table]
+        first = options.facts_since.replace(day=1)
+        at = step.inputs.index(source)
+        inputs[at] = inputs[at].filter((F.col(time) >= F.lit(first)) | F.col(time).isNull())
         df = _with_layout(step.build(*inputs), layout)
-        return write_table(df, path, partition_by=tuple(layout), dynamic=update)
+        return replace_months(spark, df, path, column, first.year * 100 + first.month)
     if update:
         return upsert_table(spark, path, step.build(*inputs), step.key)
     return write_table(step.build(*inputs), path)
@@ -157,9 +188,35 @@ def run_layer(
         "silver": lambda t: store_silver(spark, lake, t, options),
         "gold": lambda t: store_gold(spark, lake, t, options),
     }[layer]
-    return _attempt_all(
-        spark, layer, tables or LAYERS[layer], work, options.workers, options.strict
+    names = tables or LAYERS[layer]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(
+        "spark.sql.shuffle.partitions",
+        options.shuffle_partitions or layer_width(spark, layer, lake, raw_root, names),
     )
+    try:
+        return _attempt_all(spark, layer, names, work, options.workers, options.strict)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def layer_width(
+    spark: SparkSession, layer: str, lake: Lake, raw_root: str | None, tables: Sequence[str]
+) -> int:
+    """Shuffle partitions for a layer, from the sizes of the files it reads.
+
+    The largest input of a table decides, as if all of it were shuffled. AQE merges
+    what turns out smaller, but splits nothing before a join or an aggregate.
+    """
+    if layer == "bronze":
+        patterns = [[raw_location(raw_root, RAW_TABLES[t])] for t in tables]
+        factor = 1
+    else:
+        steps = SILVER | GOLD
+        patterns = [[p for i in steps[t].inputs for p in lake.parts(spark, i)] for t in tables]
+        factor = IN_MEMORY
+    largest = max((sum(size(spark, p) for p in group) for group in patterns), default=0)
+    return shuffle_partitions(largest * factor, spark.sparkContext.defaultParallelism)
 
 
 def run_all(
@@ -207,6 +264,7 @@ def export_raw(
 
     def work(table: str) -> int:
         df = bronze.extract(spark, raw_root, table, options.infer, options.multiline)
+        df = df.drop(SOURCE_PATH, UNPARSED)
         return export_table(df, url, f"{schema}.{table}", properties, **export_options)
 
     return _attempt_all(spark, schema, tables, work)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 # The money columns are decimal from the first read, so sums are exact and do
-# not depend on the order in which tasks finish.
+# not depend on the order in which tasks finish. Raw amounts are read wider than
+# they are stored: silver adds first and rounds then, and fails on what is too large.
 MONEY = "decimal(10,2)"
+RAW_MONEY = "decimal(28,10)"
 
 
 @dataclass(frozen=True)
@@ -65,8 +67,8 @@ RAW_TABLES = {
                 "product_id": "string",
                 "seller_id": "string",
                 "shipping_limit_date": "timestamp",
-                "price": MONEY,
-                "freight_value": MONEY,
+                "price": RAW_MONEY,
+                "freight_value": RAW_MONEY,
             },
             ("order_id", "order_item_id"),
         ),
@@ -78,7 +80,7 @@ RAW_TABLES = {
                 "payment_sequential": "int",
                 "payment_type": "string",
                 "payment_installments": "int",
-                "payment_value": MONEY,
+                "payment_value": RAW_MONEY,
             },
             ("order_id", "payment_sequential"),
         ),
@@ -102,7 +104,7 @@ RAW_TABLES = {
             {
                 "product_id": "string",
                 "product_category_name": "string",
-                "product_weight_g": MONEY,
+                "product_weight_g": RAW_MONEY,
                 "product_length_cm": "double",
                 "product_height_cm": "double",
                 "product_width_cm": "double",

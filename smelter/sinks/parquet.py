@@ -36,6 +36,24 @@ def write_table(
     return int(written.get["rows"])
 
 
+def replace_months(
+    spark: SparkSession, df: DataFrame, path: str, column: str, first: int
+) -> int:
+    """Replace the months from `first` on, and the rows without a month, by `df`.
+
+    Folders of that range which `df` has no rows for are removed after the write:
+    those whose files are still the same.
+    """
+    before = lake.folders(spark, path)
+    rows = write_table(df, path, partition_by=(column,), dynamic=True)
+    for name, files in lake.folders(spark, path).items():
+        month = name.partition("=")[2]
+        in_range = not month.isdigit() or int(month) >= first
+        if in_range and files == before.get(name):
+            lake.remove(spark, f"{path}/{name}")
+    return rows
+
+
 def replace_table(
     spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
 ) -> int:

@@ -8,6 +8,9 @@ from smelter.schemas import RawTable
 
 EXTRACTED_AT = "_extracted_at"
 SOURCE_FILE = "_source_file"
+SOURCE_PATH = "_source_path"
+# The text of a line in which a value did not fit its type; null for all others.
+UNPARSED = "_unparsed"
 
 
 def raw_location(raw_root: str, table: RawTable) -> str:
@@ -21,7 +24,7 @@ def csv_options(table: RawTable, multiline: bool = False) -> dict[str, object]:
     a file cannot be split, so it is only switched on for free-text tables and
     wants many files rather than one big one.
     """
-    options: dict[str, object] = {"header": True}
+    options: dict[str, object] = {"header": True, "columnNameOfCorruptRecord": UNPARSED}
     if multiline and table.free_text:
         options.update(multiLine=True, escape='"')
     return options
@@ -34,9 +37,11 @@ def header_schema(
 
     Only the first line is read. Known columns get their declared type, others
     stay string: no pass over the data, and no value is lost to a guessed type.
+    A line with a value that is none of its type keeps its text in one more column.
     """
     names = spark.read.options(**csv_options(table, multiline)).csv(location).columns
     fields = [f"`{n}` {table.columns.get(n, 'string')}" for n in names]
+    fields.append(f"{UNPARSED} string")
     return T.StructType.fromDDL(", ".join(fields))
 
 
@@ -65,7 +70,13 @@ def file_name() -> Column:
     return F.col("_metadata.file_name")
 
 
-def stamp_lineage(df: DataFrame, source: Column) -> DataFrame:
+def file_path() -> Column:
+    """Path of that file, which tells apart files of one name."""
+    return F.col("_metadata.file_path")
+
+
+def stamp_lineage(df: DataFrame, source: Column, path: Column | None = None) -> DataFrame:
+    whole = [] if path is None else [path.alias(SOURCE_PATH)]
     return df.select(
-        "*", F.current_timestamp().alias(EXTRACTED_AT), source.alias(SOURCE_FILE)
+        "*", F.current_timestamp().alias(EXTRACTED_AT), source.alias(SOURCE_FILE), *whole
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,10 +33,28 @@ class Lake:
     def path(self, table: str) -> str:
         return f"{self.layer_path(layer_of(table))}/{table}"
 
+    def stream_path(self, table: str) -> str:
+        """Where the stream puts its files; they are listed in its own log."""
+        return f"{self.layer_path('_stream')}/{table}"
+
+    def progress_path(self, table: str) -> str:
+        return f"{self.layer_path('_progress')}/{table}"
+
+    def parts(self, spark: SparkSession, table: str) -> list[str]:
+        """The folders that hold the table: that of the runs, and that of the stream."""
+        found = [p for p in (self.path(table), self.stream_path(table)) if exists(spark, p)]
+        return found or [self.path(table)]
+
+    def forget_stream(self, spark: SparkSession, table: str) -> None:
+        """Remove what the stream has taken in, and its memory of it."""
+        remove(spark, self.stream_path(table))
+        remove(spark, self.progress_path(table))
+
     def read(self, spark: SparkSession, table: str, layout: bool = False) -> DataFrame:
         """The table; with `layout` also the columns its folders are named after,
         so that a filter on them skips folders."""
-        stored = spark.read.parquet(self.path(table))
+        whole = [spark.read.parquet(path) for path in self.parts(spark, table)]
+        stored = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole)
         if layout:
             return stored
         return stored.drop(*APPEND_PARTITIONS, *PARTITIONS.get(table, {}))
@@ -63,6 +82,23 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def size(spark: SparkSession, pattern: str) -> int:
+    """Bytes of all files that a path or pattern names."""
+    jpath, fs = _hadoop_path(spark, pattern)
+    return sum(fs.getContentSummary(s.getPath()).getLength() for s in fs.globStatus(jpath) or ())
+
+
+def folders(spark: SparkSession, path: str) -> dict[str, frozenset[str]]:
+    """The names of the files in each folder of a partitioned table."""
+    jpath, fs = _hadoop_path(spark, path)
+    found = (s.getPath() for s in fs.listStatus(jpath) if s.isDirectory())
+    return {
+        p.getName(): frozenset(f.getPath().getName() for f in fs.listStatus(p))
+        for p in found
+        if "=" in p.getName()
+    }
+
+
 def tables(spark: SparkSession, lake: Lake) -> DataFrame:
     """Tables present in each layer."""
     found = []
@@ -78,3 +114,8 @@ def tables(spark: SparkSession, lake: Lake) -> DataFrame:
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """First rows, as stored."""
     return df.limit(rows)
+
+
+def preview_with_count(df: DataFrame, rows: int = 5) -> tuple[DataFrame, int]:
+    """First rows, and how many there are in all."""
+    return preview(df, rows), df.count()

@@ -2,7 +2,8 @@
 
 Structured Streaming keeps the list of files already taken in its checkpoint
 and commits every batch as a whole: a run that dies is continued by the next
-one without losing or repeating a file.
+one without losing or repeating a file. The stream has a folder of its own,
+which only it writes to; `Lake.read` puts it together with what runs append.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from smelter.schemas import APPEND_PARTITIONS, RAW_TABLES
 from smelter.sources.csv import (
     csv_options,
     file_name,
+    file_path,
     header_schema,
     raw_location,
     stamp_lineage,
@@ -39,15 +41,15 @@ def append_new_files(
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(location)
     )
-    stamped = stamp_lineage(arriving, file_name()).withColumns(
+    stamped = stamp_lineage(arriving, file_name(), file_path()).withColumns(
         {name: F.expr(text) for name, text in APPEND_PARTITIONS.items()}
     )
     return (
         stamped.writeStream.format("parquet")
         .outputMode("append")
         .partitionBy(*APPEND_PARTITIONS)
-        .option("path", lake.path(table))
-        .option("checkpointLocation", f"{lake.layer_path('_progress')}/{table}")
+        .option("path", lake.stream_path(table))
+        .option("checkpointLocation", lake.progress_path(table))
         .trigger(availableNow=True)
         .start()
     )

@@ -10,7 +10,6 @@ from smelter.operators import ranking
 from smelter.operators.audit import Check, audit
 from smelter.operators.joins import join_with_nulls
 from smelter.operators.merge import latest_per_file, latest_per_key, upsert, upsert_table
-from smelter.operators.reuse import checkpoint_dir
 from smelter.sinks.parquet import recover, replace_table, write_table
 from smelter.sources import lake
 from tests.conftest import rows
@@ -180,11 +179,6 @@ def test_audit(spark):
     }
 
 
-def test_checkpoint_folder_is_the_named_one(spark):
-    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert spark.conf.get("spark.checkpoint.dir") in spark.sparkContext.getCheckpointDir()
-
-
 def test_rank_keeps_decimal_amounts(spark):
     df = spark.createDataFrame([(Decimal("1.50"),), (Decimal("2.50"),)], "a decimal(18,2)")
     assert rows(ranking.add_ranks(df, "a", {"r": ()}), "a") == [

@@ -12,7 +12,8 @@ from checks.adapters import RAW_VIEWS
 from checks.compare import _bag, connect
 from checks.oracle import ORACLE
 from checks.queries import comparable
-from smelter.plans import marts
+import smelter.__main__ as cli
+from smelter.plans import bronze, marts, runner
 from smelter.plans.runner import (
     LayerFailed,
     Options,
@@ -133,7 +134,7 @@ def test_partial_facts_touch_only_later_months(spark, con, raw_root, tmp_path):
     def files(table, later):
         month, first = facts[table]
         stored = lake.read(spark, table, layout=True)
-        recent = F.coalesce(F.col(month) >= first, F.lit(False))
+        recent = F.coalesce(F.col(month) >= first, F.lit(True))  # no month: rebuilt too
         picked = stored.filter(recent if later else ~recent)
         return {r[0] for r in picked.select("_metadata.file_path").distinct().collect()}
 
@@ -252,9 +253,9 @@ def test_gold_export(spark, built, sql_store):
     )
     sellers, sales = (built.lake.read(spark, t).count() for t in ("dim_sellers", "fct_sales"))
     assert [tuple(r) for r in summary.collect()] == [
-        ("gold", "dim_sellers", sellers, "ok", None),
-        ("gold", "fct_sales", sales, "ok", None),
-        ("gold", "dim_dates", 0, "failed", "refused"),
+        ("gold", "dim_sellers", sellers, "ok", None, None),
+        ("gold", "fct_sales", sales, "ok", None, None),
+        ("gold", "dim_dates", 0, "failed", "refused", None),
     ]
     url, properties, _ = sql_store["gold.dim_sellers"]
     assert (url, properties) == ("jdbc:x", {"user": "u"})
@@ -262,7 +263,7 @@ def test_gold_export(spark, built, sql_store):
 
 def test_missing_gold_table_is_skipped(spark, tmp_path, sql_store):
     summary = export_gold(spark, Lake(str(tmp_path)), "jdbc:x", tables=["dim_sellers"])
-    assert [tuple(r) for r in summary.collect()] == [("gold", "dim_sellers", 0, "skipped", None)]
+    assert [tuple(r)[:4] for r in summary.collect()] == [("gold", "dim_sellers", 0, "skipped")]
 
 
 def test_raw_export_has_lineage(spark, raw_root, sql_store):
@@ -278,3 +279,143 @@ def test_doubled_rows_in_the_store_are_noticed(spark, built, sql_store):
     (row,) = summary.collect()
     assert row.status == "failed" and "stored" in row.error
     assert issubclass(ExportMismatch, RuntimeError)
+
+
+REVIEWS = "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date\n"
+
+
+def test_facts_since_take_in_new_moved_undated_and_vanished_rows(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    raw.mkdir()
+    (raw / "x_orders_dataset.csv").write_text(
+        "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+        "order_delivered_customer_date,order_estimated_delivery_date\no,c,delivered,2018-01-01 00:00:00,,,,\n"
+    )
+
+    def run(options, *reviews):
+        lines = (f"{r},o,5,,,{day}" for r, day in reviews)
+        (raw / "x_order_reviews_dataset.csv").write_text(REVIEWS + "\n".join(lines) + "\n")
+        for layer, tables in (("bronze", ["raw_orders", "raw_order_reviews"]), ("silver", ["stg_orders", "stg_order_reviews"]), ("gold", ["fct_order_reviews"])):
+            run_layer(spark, layer, lake, str(raw), options, tables)
+        return rows(lake.read(spark, "fct_order_reviews").select("review_id", "review_date_key"), "review_id")
+
+    sep, octo = "2018-09-05 00:00:00", "2018-10-05 00:00:00"
+    assert run(Options(), ("r0", "2018-08-01 00:00:00"), ("r1", sep), ("r3", sep), ("r4", octo)) == [
+        ("r0", 20180801), ("r1", 20180905), ("r3", 20180905), ("r4", 20181005),
+    ]
+    since = Options(gold_upsert=True, facts_since=date(2018, 9, 20))
+    # r1 loses its date, r2 is new without one, r3 moves, r4 vanishes and with it its month
+    assert run(since, ("r0", "2018-08-01 00:00:00"), ("r1", "bad"), ("r2", "bad"), ("r3", "2018-11-01 00:00:00")) == [
+        ("r0", 20180801), ("r1", None), ("r2", None), ("r3", 20181101),
+    ]
+    # a run without --since replaces all months
+    assert run(Options(gold_upsert=True), ("r3", sep)) == [("r3", 20180905)]
+
+
+def test_since_needs_upsert():
+    with pytest.raises(ValueError, match="gold_upsert"):
+        Options(facts_since=date(2018, 9, 1))
+
+
+def test_upserts_with_null_keys_end_after_one(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    raw.mkdir()
+    (raw / "x_order_payments_dataset.csv").write_text(
+        "order_id,payment_sequential,payment_type,payment_installments,payment_value\no,1,,1,5\no,2,boleto,1,6\n"
+    )
+    run_layer(spark, "bronze", lake, str(raw), tables=["raw_order_payments"])
+    run_layer(spark, "silver", lake, tables=["stg_order_payments"])
+    for _ in range(3):
+        run_layer(spark, "gold", lake, options=Options(gold_upsert=True), tables=["dim_payment_types"])
+        assert rows(lake.read(spark, "dim_payment_types").select("payment_type"), "payment_type") == [(None,), ("boleto",)]
+
+
+SELLERS = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+@pytest.mark.parametrize("order", ["stream append", "append stream", "stream overwrite stream", "stream append stream append"])
+def test_stream_and_runs_share_a_table(spark, tmp_path, order):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    raw.mkdir()
+    for i, step in enumerate(order.split()):
+        (raw / f"{i}_sellers_dataset.csv").write_text(SELLERS + f"s{i},01,x,SP\n")
+        if step == "stream":
+            append_new_files(spark, str(raw), lake, "raw_sellers").awaitTermination()
+        else:
+            run_layer(spark, "bronze", lake, str(raw), Options(bronze_append=step == "append"), ["raw_sellers"])
+    want = [(f"s{i}",) for i in range(len(order.split()))]
+    assert rows(lake.read(spark, "raw_sellers").select("seller_id").distinct(), "seller_id") == want
+    run_layer(spark, "silver", lake, tables=["stg_sellers"])
+    assert rows(lake.read(spark, "stg_sellers").select("seller_id"), "seller_id") == want
+
+
+def test_folders_with_equal_file_names_are_different_files(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    header = "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state\n"
+
+    def put(folder, zip_code):
+        (raw / folder).mkdir(parents=True, exist_ok=True)
+        (raw / folder / "part-0.csv").write_text(header + f"{zip_code},1,2,x,SP\n")
+
+    def current():
+        run_layer(spark, "bronze", lake, str(raw), Options(bronze_append=True), ["raw_geolocation"])
+        got = bronze.current(spark, lake, "raw_geolocation")
+        return rows(got.select("geolocation_zip_code_prefix"), "geolocation_zip_code_prefix")
+
+    put("x_geolocation_dataset.csv", "01")
+    put("y_geolocation_dataset.csv", "02")
+    assert current() == [("01",), ("02",)]
+    put("x_geolocation_dataset.csv", "03")
+    assert current() == [("02",), ("03",)]
+
+
+def test_money_is_added_before_it_is_rounded_and_never_lost(spark, tmp_path):
+    raw, lake = tmp_path / "raw", Lake(str(tmp_path / "lake"))
+    raw.mkdir()
+    header = "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+
+    def run(line):
+        (raw / "x_order_items_dataset.csv").write_text(header + line + "\n")
+        (done,) = run_layer(spark, "bronze", lake, str(raw), tables=["raw_order_items"]).collect()
+        return done.unparsed, run_layer(spark, "silver", lake, options=Options(strict=False), tables=["stg_order_items"]).first()
+
+    unparsed, silver = run("o,1,p,s,2017-09-19 09:45:35,0.005,0.005")
+    assert (unparsed, silver.status) == (0, "ok")
+    assert str(lake.read(spark, "stg_order_items").first().line_total) == "0.01"
+    unparsed, silver = run("o,1,p,s,2017-09-19 09:45:35,123456789.00,1")
+    assert unparsed == 0 and silver.status == "failed" and "OUT_OF_RANGE" in silver.error.upper() or "CANNOT" in silver.error.upper()
+    assert run("o,1,p,s,2017-09-19 09:45:35,cheap,1")[0] == 1
+
+
+def test_sales_without_a_date_stay_in_all_marts(spark, built):
+    sales, dates, people = (built.lake.read(spark, t) for t in ("fct_sales", "dim_dates", "dim_customers"))
+    assert sales.filter("date_key is null").count() > 0
+    total = marts.executive(sales, people).first().total_revenue
+    for got in (marts.sales_month(sales, dates), marts.sales_state(sales), marts.sales_category(sales)):
+        assert got.agg({"revenue": "sum"}).first()[0] == total
+    assert marts.sales_month(sales, dates).filter("year_month is null").count() == 1
+    assert marts.delivery(sales, dates).agg({"orders": "sum"}).first()[0] == sales.select("order_id").distinct().count()
+
+
+def test_an_error_without_text_and_the_width_of_a_layer(spark, built, raw_root, monkeypatch):
+    got = runner._attempt("gold", "t", lambda: (_ for _ in ()).throw(RuntimeError()))
+    assert (got.status, got.error) == ("failed", "RuntimeError")
+    cores = spark.sparkContext.defaultParallelism
+    assert runner.layer_width(spark, "gold", built.lake, None, ["fct_sales"]) == cores
+    monkeypatch.setattr("smelter.session.TARGET_SHUFFLE_BYTES", 1000)
+    wide = runner.layer_width(spark, "gold", built.lake, None, ["fct_sales"])
+    assert wide > 2 * runner.layer_width(spark, "bronze", built.lake, raw_root, ["raw_sellers"]) and wide > cores
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    monkeypatch.setattr(runner, "_attempt_all", lambda *a: seen.append(spark.conf.get("spark.sql.shuffle.partitions")))
+    run_layer(spark, "gold", built.lake, tables=["fct_sales"])
+    run_layer(spark, "gold", built.lake, tables=["fct_sales"], options=Options(shuffle_partitions=17))
+    assert seen == [str(wide), "17"] and spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_failed_tables_end_the_command_with_an_error(spark, built, monkeypatch):
+    failed = spark.createDataFrame([("gold", "dim_dates", 0, "failed", "x", None)], runner.SUMMARY)
+    monkeypatch.setattr(cli, "run_all", lambda *a: failed.filter("false"))
+    monkeypatch.setattr(cli, "export_gold", lambda *a: failed)
+    with pytest.raises(SystemExit, match="1 tables failed"):
+        cli.main(["--raw", "r", "--lake", built.lake.root, "--jdbc-url", "jdbc:x"])

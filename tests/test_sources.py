@@ -8,7 +8,7 @@ import pytest
 from smelter.plans.bronze import extract
 from smelter.schemas import RAW_TABLES
 from smelter.sources.csv import read_csv
-from smelter.sources.lake import Lake, preview, tables
+from smelter.sources.lake import Lake, preview, preview_with_count, tables
 from tests.conftest import rows
 
 REVIEWS = (
@@ -31,7 +31,8 @@ def test_byte_order_mark_and_missing_last_newline(spark, tmp_path):
     )
     got = extract(spark, str(tmp_path), "raw_category_translation")
     assert got.columns == [
-        "product_category_name", "product_category_name_english", "_extracted_at", "_source_file",
+        "product_category_name", "product_category_name_english", "_unparsed", "_extracted_at",
+        "_source_file", "_source_path",
     ]
     (row,) = got.collect()
     assert row[:2] == ("beleza_saude", "health_beauty")
@@ -46,7 +47,8 @@ def test_declared_types_keep_leading_zeros(spark, tmp_path):
         "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state\n"
         'c1,u1,01037,"sao paulo, centro",SP\nc2,u2,,,\n',
     )
-    got = extract(spark, str(tmp_path), "raw_customers").drop("_extracted_at", "_source_file")
+    got = extract(spark, str(tmp_path), "raw_customers")
+    got = got.drop("_unparsed", "_extracted_at", "_source_file", "_source_path")
     assert rows(got, "customer_id") == [
         ("c1", "u1", "01037", "sao paulo, centro", "SP"), ("c2", "u2", None, None, None),
     ]
@@ -69,7 +71,8 @@ def test_columns_follow_the_header(spark, tmp_path):
     assert first.price == Decimal("58.90") and first.colour == "red"
     assert first.shipping_limit_date == datetime(2017, 9, 19, 9, 45, 35)
     assert second.price is None and second.order_item_id is None
-    assert second.shipping_limit_date is None and second.freight_value == Decimal("0.01")
+    assert second.shipping_limit_date is None and second.freight_value == Decimal("0.005")
+    assert first._unparsed is None and second._unparsed.startswith("cheap,o,red,one")
 
 
 def test_shards_and_folders(spark, tmp_path):
@@ -120,9 +123,11 @@ def test_layers_and_preview(spark, tmp_path):
     spark.range(3).write.parquet(lake.path("dim_dates"))
     assert rows(tables(spark, lake)) == [("bronze", "raw_orders"), ("gold", "dim_dates")]
     assert preview(lake.read(spark, "raw_orders")).count() == 5
+    first, count = preview_with_count(lake.read(spark, "raw_orders"), 3)
+    assert first.count() == 3 and count == 20
 
 
 def test_direct_read(spark, tmp_path):
     put(tmp_path, "any.csv", "seller_id,seller_state\ns1,SP\n")
     got = read_csv(spark, str(tmp_path / "any.csv"), RAW_TABLES["raw_sellers"])
-    assert rows(got) == [("s1", "SP")]
+    assert rows(got) == [("s1", "SP", None)]
