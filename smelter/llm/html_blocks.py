@@ -348,9 +348,12 @@ def extractor(network: Network):
 
 
 def training_pages(pages: DataFrame, most: int = TRAINING_PAGES) -> list[str]:
-    """At most `most` pages, the ones with the smallest hashes."""
-    drawn = pages.filter("length(html) > 0").orderBy(F.xxhash64("page_id"), "page_id", F.xxhash64("html")).limit(most)
-    return [row[0] for row in drawn.select("html").collect()]
+    """At most `most` pages, the ones with the smallest hashes of page_id."""
+    ids = pages.filter("page_id is not null and length(html) > 0").select("page_id", F.xxhash64("page_id").alias("order")).distinct()
+    drawn = ids.orderBy("order", "page_id").limit(most).select(F.col("page_id").alias("drawn_id"), "order")
+    # only the chosen pages come to the driver, not the best ones of each task
+    found = pages.join(F.broadcast(drawn), F.col("page_id") == F.col("drawn_id")).groupBy("order", "page_id").agg(F.max("html").alias("html"))
+    return [row.html for row in sorted(found.collect(), key=lambda row: (row.order, row.page_id))]
 
 
 def extract_main_text(pages: DataFrame, most: int = TRAINING_PAGES) -> DataFrame:
