@@ -232,7 +232,7 @@ class LineJoin(BucketJoin):
 
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         pairs = self.scratch.write(pairs, f"{name}_pairs")
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         asked = nodes.select("node", "lid", "rep_id", "at").join(asked, "node", "left_semi")
         asked = self.scratch.write(asked.groupBy("rep_id").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")), f"{name}_asked")
         texts = self.docs.join(sent_whole_if_small(asked, "size(asked)"), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "asked")

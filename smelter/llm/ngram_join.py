@@ -198,7 +198,7 @@ class SetJoin(BucketJoin):
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The links among the pairs; a is held while its partners b pass by."""
         pairs = self.scratch.write(pairs, f"{name}_pairs")
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         asked = self.scratch.write(nodes.select("node", "sid", "rep_id").join(asked, "node", "left_semi"), f"{name}_asked")
         texts = self.docs.join(sent_whole_if_small(asked), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "node", "sid")
         sets = self.scratch.write(texts.mapInArrow(fetcher(self.k), "node long, elements binary"), f"{name}_sets")
