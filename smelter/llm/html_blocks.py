@@ -34,6 +34,8 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"
 #: Elements by their role in HTML.
 HIDDEN_TEXT = {"script", "style", "template", "noscript", "textarea", "title", "iframe", "object", "svg", "head", "select", "button"}
 RAW_TEXT = {"script", "style", "textarea", "title", "iframe", "noscript"}
+#: Where the text of such an element ends; nothing else in it is markup.
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW_TEXT}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label",
@@ -75,8 +77,7 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
-    linked = hidden = 0
-    raw = ""
+    linked = hidden = at = 0
 
     def end_block() -> None:
         nonlocal linked
@@ -96,13 +97,9 @@ def blocks_of(page: str) -> list[Block]:
             hidden -= sum(name in HIDDEN_TEXT for name, _ in stack[at:])
             del stack[at:]
 
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.match(page, at):
+        at = m.end()
         tag = (m[2] or m[5] or "").lower()
-        if raw:
-            if tag == raw and (m[1] or m[4]):
-                close(raw)
-                raw = ""
-            continue
         if not tag:
             found = m[0]
             if not hidden and (found[0] != "<" or found == "<"):
@@ -131,7 +128,8 @@ def blocks_of(page: str) -> list[Block]:
                 stack.append((tag, names_of(tag, attributes)))
                 hidden += tag in HIDDEN_TEXT
                 if tag in RAW_TEXT:
-                    raw = tag
+                    found = RAW_END[tag].search(page, at)
+                    at = found.start() if found else len(page)
     end_block()
     return out
 

@@ -31,6 +31,13 @@ def test_blocks_and_white_space():
     assert texts("<table><tr><td>1<td>2<tr><td>3</table>") == ["1", "2", "3"]
 
 
+def test_raw_text_is_no_markup():
+    for code in ("for(i=0;i<n;i++)f()", "x=1 <!-- open", "var s='it", 'var s="<p>', "a</b>c</scripted>d", "i<n&&'>", "<script>"):
+        assert texts(f"<p>a</p><script>{code}</SCRIPT ><p>b</p><style>{code}</style><p>c</p>") == ["a", "b", "c"], code
+    assert texts("<title>a<b</title><p>t") == texts("<textarea><!-- </textarea><p>t") == ["t"]
+    assert texts("<p>t<script>i<n</scrip>") == texts("<p>t<script>x</script") == ["t"]
+
+
 def test_paths_have_tags_and_names():
     (path, _, linked), *_ = blocks_of('<div class="Side-bar x"><p id=main><a href="">abc</a></p></div>')
     assert path == ("div", ".side", ".bar", ".x", "p", ".main") and linked == 3
