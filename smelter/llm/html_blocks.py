@@ -3,8 +3,9 @@
 A page becomes a sequence of leaf blocks, each with its path of tags and its words. Both
 are hashed into vectors; the network reads the sequence in both directions and says
 which blocks belong to the article. It is trained on pages of the table itself, whose
-blocks are labelled by their markup, with containers renamed and furniture added, so
-that it knows more ways of writing a page than the table has.
+blocks are labelled by their markup where it says something, with containers renamed or
+stripped of their names and furniture added, so that it knows more ways of writing a
+page than the table has, and has to go by words, lengths and neighbours as well.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from smelter.llm.words import word_hashes
 #: Pages that the network is trained on, at most, and the blocks that are used of each.
 TRAINING_PAGES, TRAINING_BLOCKS = 240, 60
 PATH_WIDTH, WORD_WIDTH, HIDDEN = 128, 16, 12
-EPOCHS, BATCH, RATE = 14, 24, 0.015
+EPOCHS, BATCH, RATE = 20, 24, 0.015
+#: Words that a block has at least to count as prose where no markup names an article.
+PROSE = 12
 #: Blocks times pages that are labelled at a time.
 LABEL_CELLS = 40_000
 
@@ -144,6 +147,27 @@ def marked(path: tuple[str, ...]) -> bool | None:
     return None
 
 
+def labels_of(page: list[Block]) -> list[bool | None]:
+    """What the markup says of each block. If it names no article, unlinked sentences that it says nothing of are taken for one."""
+    out = [marked(path) for path, _, _ in page]
+    if True not in out:
+        prose = [len(text.split()) >= PROSE and text[-1] in ".!?\"\u201d" and 4 * linked < len(text) for _, text, linked in page]
+        out = [True if told is None and p else told for told, p in zip(out, prose)]
+    return out
+
+
+def inside(path: tuple[str, ...]) -> tuple[str, ...]:
+    """The path of an article's block below the element that marks it, without further marks."""
+    mark = lambda t: t in ("article", "main") or t[0] == "." and t[1:] in ARTICLE
+    at = next((i for i, t in enumerate(path) if mark(t)), None)
+    if at is None:
+        at = max((i for i, t in enumerate(path) if t in ("html", "body")), default=-1)
+    at += 1
+    while at < len(path) and path[at][0] == ".":
+        at += 1
+    return tuple(t for t in path[at:] if not mark(t))
+
+
 def token_vector(token: str, width: int, known: dict = {}) -> np.ndarray:  # noqa: B006
     """A fixed pseudo-random vector of a token."""
     if (token, width) not in known:
@@ -219,10 +243,11 @@ class Network:
         both = np.concatenate([ahead, back, x], axis=2)
         return 1 / (1 + np.exp(-(both @ self.w[6] + self.w[7]))), (both, kept_a, kept_b)
 
-    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
-        """Of the mean cross entropy over the blocks."""
+    def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray, told: np.ndarray | None = None) -> list[np.ndarray]:
+        """Of the mean cross entropy over the blocks, or over those of them that are told."""
         p, (both, kept_a, kept_b) = self.forward(x, mask)
-        d = ((p - y) * mask / max(1.0, float(mask.sum()))).astype(np.float32)
+        told = mask if told is None else told
+        d = ((p - y) * told / max(1.0, float(told.sum()))).astype(np.float32)
         grads = [np.zeros_like(w) for w in self.w]
         grads[6], grads[7] = np.tensordot(d, both, 2), d.sum(keepdims=True)[0]
         for way, kept in ((0, kept_a), (1, kept_b)):
@@ -252,25 +277,45 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return x, mask
 
 
-def redressed(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
-    """A page with its labels, its containers renamed at random, and furniture of other kinds around and inside."""
+def redressed(page: list[Block], rng: np.random.Generator) -> tuple[list[Block], list[bool | None]]:
+    """A page with its labels, its containers renamed at random, and furniture of other kinds around and inside.
+
+    In a part of the pages nothing in the article's path tells it, and in half of those the
+    page's own furniture around it has no telling names either.
+    """
     pick = lambda names: names[rng.integers(len(names))]
     noise = lambda: (f".{pick('abcdefgh')}{rng.integers(99)}",) if rng.random() < 0.4 else ()
+    some_name = lambda: tuple("." + "".join(pick("abcdefghiklmnoprstuw") for _ in range(rng.integers(2, 9))) for _ in range(rng.integers(0, 4)))
+
+    def unnamed() -> tuple[str, ...]:
+        if rng.random() < 0.25:
+            return ("table", *some_name(), "tbody", "tr", "td", *some_name())
+        return tuple(t for _ in range(rng.integers(0, 4)) for t in (pick(["div", "div", "section", "center"]), *some_name()))
+
     container = ("html", "body", *noise())
-    if rng.random() < 0.5:
+    plain = rng.random() < 0.4
+    bare = plain and rng.random() < 0.5
+    if plain:
+        container += unnamed()
+    elif rng.random() < 0.5:
         container += ("article",) + noise()
     elif rng.random() < 0.4:
         container += ("main", "article")
     else:
         container += (pick(["div", "section", "main"]), f".{pick(ARTICLE_NAMES)}", *noise())
-    labels, out = [], []
+    labels, out, around = labels_of(page), [], {}
     texts = [b for b in page if b[1]]
-    for path, text, linked in page:
-        label = bool(marked(path))
-        if label and "article" in path:
+    for (path, text, linked), told in zip(page, labels):
+        if told and plain:
+            path = container + inside(path)
+        elif told and "article" in path:
             path = container + path[path.index("article") + 1 :]
+        elif told is False and bare and not ({"article", "main"} & {*path}):
+            if path not in around:
+                kept = tuple(t for t in path if t[0] != "." and t not in FURNITURE_TAGS and t not in ("html", "body"))
+                around[path] = ("html", "body", *unnamed(), *kept)
+            path = around[path]
         out.append((path, text, linked))
-        labels.append(label)
 
     def furniture() -> Block:
         _, text, linked = texts[rng.integers(len(texts))]
@@ -302,12 +347,13 @@ def train(pages: list[str], seed: int = 5) -> Network:
         order = rng.permutation(len(known))
         for at in range(0, len(order), BATCH):
             chosen = [known[i] for i in order[at : at + BATCH]]
-            dressed = [redressed(b, rng) if rng.random() < 0.75 else (b, [bool(marked(p)) for p, _, _ in b]) for b in chosen]
+            dressed = [redressed(b, rng) if rng.random() < 0.75 else (b, labels_of(b)) for b in chosen]
             x, mask = padded([vectors(b) for b, _ in dressed])
-            y, _ = padded([np.array(labels, np.float32)[:, None] for _, labels in dressed])
+            y, _ = padded([np.array([bool(t) for t in labels], np.float32)[:, None] for _, labels in dressed])
+            told, _ = padded([np.array([t is not None for t in labels], np.float32)[:, None] for _, labels in dressed])
             step += 1
             rate = RATE * (1 - epoch / EPOCHS)
-            for w, g, a, b in zip(network.w, network.gradients(x, mask, y[:, :, 0]), first, second):
+            for w, g, a, b in zip(network.w, network.gradients(x, mask, y[:, :, 0], told[:, :, 0]), first, second):
                 a += 0.1 * (g - a)
                 b += 0.001 * (g * g - b)
                 w -= rate * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.999**step)) + 1e-8)

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from smelter.llm.html_blocks import Network, blocks_of, extract_main_text, label, marked, padded, redressed, train, vectors
+from smelter.llm.html_blocks import Network, blocks_of, extract_main_text, inside, label, labels_of, marked, padded, redressed, train, vectors
 from tests.llm.conftest import rows, words
 
 
@@ -86,6 +86,44 @@ def test_furniture_that_training_pages_have_not(network):
     assert wrong / total < 0.04
 
 
+NAMELESS = ["div", 'div class="mw-parser-output"', 'div class="col-8"', "table><tr><td", "section id=q7", 'div class="wrap"><div class="zz"']
+
+
+def nameless(i):
+    name = NAMELESS[i % len(NAMELESS)]
+    return page(i).replace("<article>", f"<{name}>").replace("</article>", f"</{name.split()[0].split('>')[0]}>")
+
+
+def test_articles_without_a_telling_name(network):
+    told = [[bool(marked(p)) for p, _, _ in blocks_of(page(i))] for i in range(700, 760)]
+    pages = [blocks_of(nameless(i)) for i in range(700, 760)]
+    assert not any(marked(p) for blocks in pages for p, _, _ in blocks)
+    got = label(network, pages)
+    wrong = sum(int((np.array(t) != g).sum()) for t, g in zip(told, got))
+    assert wrong / sum(map(len, told)) < 0.04
+
+
+def test_a_table_without_telling_names():
+    network = train([nameless(i) for i in range(120)])
+    pages = [blocks_of(nameless(i)) for i in range(700, 760)]
+    for blocks, got in zip(pages, label(network, pages)):
+        prose = [text[-1] == "." for _, text, _ in blocks]
+        assert all(g for g, p in zip(got, prose) if p) and not any(g for (path, _, _), g in zip(blocks, got) if marked(path) is False)
+
+
+def test_blocks_of_which_nothing_is_told():
+    blocks = blocks_of("<article><p>a b</p></article><div>c d</div><nav>e</nav>")
+    assert labels_of(blocks) == [True, None, False]
+    rng = np.random.default_rng(0)
+    assert all(None in redressed(blocks, rng)[1] for _ in range(20))
+    assert labels_of(blocks_of(f"<div>c</div><p>{words(30, 1)}.</p><nav>{words(30, 1)}.</nav>")) == [None, True, False]
+    assert inside(("html", "body", "div", ".post", ".x", "div", ".entry", ".k", "p")) == ("div", ".k", "p")
+    told = np.array([[1.0], [0.0]])
+    x, mask = padded([np.ones((2, 149), np.float32)])
+    one, other = (Network.new(np.random.default_rng(1)).gradients(x, mask, np.array([[1.0], [y]]), told)[7] for y in (0.0, 1.0))
+    assert one == other
+
+
 def test_context_reaches_every_block(network):
     blocks = blocks_of(page(1))
     x, mask = padded([vectors(blocks)])
