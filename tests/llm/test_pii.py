@@ -97,3 +97,45 @@ def test_odd_rows_and_other_keys(odd_docs, docs):
 def test_no_python_runs(odd_docs):
     plan = pseudonymise(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def one(docs, *texts):
+    got = {r.doc_id: r for r in pseudonymise(docs(*enumerate(texts))).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_cards_among_other_digits(docs):
+    card = "4111 1111 1111 1111"
+    given = [f"{card} 12/25", f"{card} 123", "2 4111111111111111", "x 7 4111-1111-1111-1111, 5", f"14112 1114 {card} 99", "3782 822463 10005 12", f"{card} 5500 0000 0000 0004 7"]
+    got = one(docs, *given)
+    assert [list(r.kinds) for r in got] == [["card"]] * 6 + [["card"] * 2]
+    for text, r in zip(given, got):
+        assert re.sub(r"\d", "0", text) == re.sub(r"\d", "0", r.text) and all(luhn(re.sub(r"\D", "", p)) % 10 == 0 for p in r.pseudonyms)
+    assert got[0].text == f"{got[0].pseudonyms[0]} 12/25" and got[2].text[:2] == "2 " and got[4].text.startswith("14112 1114 ") and got[4].text.endswith(" 99")
+    assert got[0].pseudonyms[0] == got[1].pseudonyms[0] == got[4].pseudonyms[0] == got[6].pseudonyms[0]
+    assert one(docs, "5 555-123-4567 12 34")[0].kinds == ["phone"]
+    assert one(docs, "1 2 " * 30_000)[0].n_private == 0
+
+
+def test_phone_spellings(docs):
+    given = ["+1-555-123-4567", "1-555-123-4567", "555.123.4567", "+44 20 7946 0958", "(555) 123-4567", "+15551234567", "+1 (555) 123-4567", "555-123-4567"]
+    got = one(docs, *(f"call {g}." for g in given))
+    for text, r in zip(given, got):
+        assert r.kinds == ["phone"] and r.text == f"call {r.pseudonyms[0]}." and r.pseudonyms[0] != text
+        assert re.sub(r"\d", "0", text) == re.sub(r"\d", "0", r.pseudonyms[0])
+    assert got[3].pseudonyms[0].startswith("+44 ") and got[1].pseudonyms[0].startswith("1-")
+    assert len({re.sub(r"\D", "", r.pseudonyms[0])[-10:] for i, r in enumerate(got) if i != 3}) == 1
+    assert all(r.n_private == 0 for r in one(docs, "9-555-123-4567", "1.555.123.4567.8", "555-1234", "+1"))
+
+
+def test_date_spellings(docs):
+    given = ["2020-03-05", "03/05/2020", "3/5/2020", "05.03.2020", "March 5, 2020", "Mar 5 2020", "5 March 2020", "5th March 2020", "2020/03/05"]
+    got = [r.pseudonyms[0] for r in one(docs, *(f"on {g}, " for g in given))]
+    y, m, d = map(int, got[0].split("-"))
+    name = date(2000, m, 1).strftime("%B")
+    assert got[1:4] == [f"{m:02}/{d:02}/{y}", f"{m}/{d}/{y}", f"{d:02}.{m:02}.{y}"] and got[8] == got[0].replace("-", "/")
+    assert got[4:7] == [f"{name} {d}, {y}", f"{name[:3]} {d} {y}", f"{d} {name} {y}"] and re.fullmatch(rf"{d}(st|nd|rd|th) {name} {y}", got[7])
+    days = [f"{d}/{m:02}/1999" for m in range(1, 8) for d in range(13, 29)]
+    moved = [r.pseudonyms[0] for r in one(docs, *days)]
+    assert len(set(moved)) == len(days) and all(int(x[:2]) > 12 for x in moved)
+    assert [r.n_private for r in one(docs, "12/31/1999", "31.12.1999", "31.02.1999", "13/13/1999", "February 30, 2020")] == [1, 1, 0, 0, 0]
