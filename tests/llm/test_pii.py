@@ -139,3 +139,13 @@ def test_date_spellings(docs):
     moved = [r.pseudonyms[0] for r in one(docs, *days)]
     assert len(set(moved)) == len(days) and all(int(x[:2]) > 12 for x in moved)
     assert [r.n_private for r in one(docs, "12/31/1999", "31.12.1999", "31.02.1999", "13/13/1999", "February 30, 2020")] == [1, 1, 0, 0, 0]
+
+
+def test_the_match_itself_is_replaced(docs):
+    marks = "\ufdd0a\ufdd4\ufdd6\ufdd2 \ufdd3\ufdd1"
+    given = ["99-555-123-4567 or 555-123-4567", "88-123-45-6789 and 123-45-6789", "id 7-2020-01-02 on 2020-01-02", f"{marks}123-45-6789{marks}", marks]
+    got = one(docs, *given)
+    for text, r in zip(given[:3], got):
+        first, last = text.split()[0 if text[0] != "i" else 1], text.split()[-1]
+        assert r.n_private == 1 and first in r.text and r.text.endswith(" " + r.pseudonyms[0]) and r.pseudonyms[0] != last
+    assert got[3].text == f"{marks}{got[3].pseudonyms[0]}{marks}" and got[4].text == marks
