@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.bucket_join import BucketJoin, hamming
@@ -29,7 +29,12 @@ FREQUENT, FREQUENT_BITS = 4, 26
 PAIRED_SIZE, PER_CLASS = 16, 4
 #: 64-bit words of the summary by which most pairs are ruled out, and the pairs that a held set is compared with in one place.
 LONGS, PER_PLACE = 8, 512
-SETS = "doc_id long, n long, sid binary, bits array<long>, heads array<long>"
+SETS = "doc_id long, n long, sid binary, bits array<long>, heads array<long>, mark binary"
+
+
+def rank() -> Column:
+    """The order in which the rows of a group are kept: by doc_id, null last, then by a hash of the text."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")
 
 
 def allowed_missing(n: int, num: int, den: int) -> int:
@@ -101,7 +106,7 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
     elements, its first elements: a quarter more than would do if none were frequent.
     A set that a task has seen has none.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("bits", pa.list_(pa.int64())), ("heads", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("sid", pa.binary()), ("bits", pa.list_(pa.int64())), ("heads", pa.list_(pa.int64())), ("mark", pa.binary())])
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
@@ -123,7 +128,7 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
                 bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 for column, value in zip(columns[1:], (n, sid, bits, None if heads is None else heads.view(np.int64))):
                     column.append(value)
-            yield pa.RecordBatch.from_arrays([columns[0], *(pa.array(c, f.type) for c, f in zip(columns[1:], list(schema)[1:]))], schema=schema)
+            yield pa.RecordBatch.from_arrays([columns[0], *(pa.array(c, f.type) for c, f in zip(columns[1:], list(schema)[1:])), batch.column(2)], schema=schema)
 
     return index
 
@@ -191,9 +196,9 @@ class SetJoin(BucketJoin):
         members = self.scratch.write(self.docs.mapInArrow(indexer(self.k, self.num, self.den, None), SETS), "members")
         indexed = self.docs.mapInArrow(indexer(self.k, self.num, self.den, self.frequent(members)), SETS)
         with_heads = indexed.filter("heads is not null").select("sid", "bits", "heads")
-        ids = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep_id"), F.first("n").alias("n"))
+        ids = members.filter("n > 0").groupBy("sid").agg(F.min("doc_id").alias("rep_id"), F.min(rank()).alias("best"), F.first("n").alias("n"))
         nodes = with_heads.dropDuplicates(["sid"]).join(ids, "sid").withColumn("node", F.monotonically_increasing_id())
-        return members.select("doc_id", "n", "sid"), self.scratch.write(nodes, "nodes")
+        return members.select("doc_id", "n", "sid", "mark"), self.scratch.write(nodes, "nodes")
 
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         """The links among the pairs; a is held while its partners b pass by."""
@@ -212,6 +217,18 @@ class SetJoin(BucketJoin):
         return self.scratch.write(rows.mapInArrow(compare(self.num, self.den), "a long, b long"), f"{name}_links")
 
 
+def linked(docs: DataFrame, scratch: Scratch, k: int, num: int, den: int) -> DataFrame:
+    """One row for each row of `docs`: doc_id, mark (a hash of the text), n, component_id, and the row that its group keeps."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    join = SetJoin(slim.withColumn("mark", F.unhex(F.md5("text"))), scratch, k, num, den)
+    members, nodes = join.nodes()
+    labels = components(join.links(nodes))
+    known = nodes.select("node", "sid", "rep_id", "best").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    smallest = known.groupBy("label").agg(F.min("rep_id").alias("component_id"), F.min("best").alias("kept"))
+    by_set = known.join(smallest, "label").select("sid", "component_id", "kept")
+    return members.join(by_set, "sid", "left").select("doc_id", "mark", "n", "component_id", "kept")
+
+
 def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id.
 
@@ -223,27 +240,20 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     are never paired. Other columns are ignored; an empty table gives no rows. Hashes
     stand for the words and sets, of 64 and 128 bits.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with Scratch(docs.sparkSession) as scratch:
-        join = SetJoin(slim, scratch, k, num, den)
-        members, nodes = join.nodes()
-        labels = components(join.links(nodes))
-        known = nodes.select("node", "sid", "rep_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        smallest = known.groupBy("label").agg(F.min("rep_id").alias("component_id"))
-        by_set = known.join(smallest, "label").select("sid", "component_id")
-        return durable(
-            members.join(by_set, "sid", "left").select(
-                "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
-            )
-        )
+        found = linked(docs, scratch, k, num, den)
+        return durable(found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def drop_similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of `docs`, with all their columns, without those that are linked to a smaller doc_id.
+    """The rows of `docs`, with all their columns, that their group of linked rows keeps.
 
-    Rows without words stay all. Of several rows with the smallest doc_id of a group all stay.
+    It keeps the smallest doc_id, null last, and of different texts under it one, by a hash
+    of the text; rows equal in doc_id and text stay or go together. Rows without words stay.
     """
-    found = similar_documents(docs, k, num, den)
-    gone = found.filter("component_id < doc_id or doc_id is null and component_id is not null").select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = sent_whole_if_small(durable(gone))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    with Scratch(docs.sparkSession) as scratch:
+        found = linked(docs, scratch, k, num, den).filter("kept is not null").filter(~rank().eqNullSafe(F.col("kept")))
+        gone = durable(found.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct())
+    gone = sent_whole_if_small(gone)
+    same_text = F.unhex(F.md5(docs["text"].cast("string"))) == gone["gone_mark"]
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & same_text, "left_anti")

@@ -106,6 +106,19 @@ def test_one_document_of_each_group_stays(table):
     assert {r.doc_id for r in left.collect() if r.doc_id and r.doc_id > 100} == groups
 
 
+def test_rows_that_share_a_doc_id_are_told_apart_by_their_text(odd_docs, docs):
+    kept = [tuple(r) for r in drop_similar(odd_docs).select("doc_id", "text").collect()]
+    given = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
+    copies = [(i, t) for i, t in given if t and t.lower().startswith("one two three four") and i != 1]
+    want = [r for r in given if r not in copies and r[0] not in (7, 11)]
+    order = lambda r: [(v is not None, v) for v in r]
+    assert sorted(kept, key=order) == sorted(want, key=order)
+    near = words(60, 3)
+    left = drop_similar(docs((None, near), (None, near + " end"), (None, words(50, 8)), (5, words(50, 9)), (5, near)))
+    assert sorted(r.text for r in left.filter("doc_id is null").collect()) == [words(50, 8)] and left.filter("doc_id = 5").count() == 2
+    assert drop_similar(docs((None, near), (None, near + " end"))).count() == 1
+
+
 def test_empty_tables(docs, table):
     assert similar_documents(table.limit(0)).count() == 0
     assert drop_similar(table.limit(0)).count() == 0
