@@ -16,12 +16,17 @@ from smelter.llm.packing import pack
 from smelter.llm.pii import pseudonymise
 from smelter.llm.quality import assess
 from smelter.llm.sharding import shard
+from smelter.llm.whitening import whiten
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
 def op1_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard(documents(spark, sf_dir))
 
@@ -62,6 +67,10 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(documents(spark, sf_dir))
 
 
+def op12_choleskyqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": op1_jump_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -73,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_feistel_pseudonyms": op10_feistel_pseudonyms,
+    "op12_choleskyqr_whitening": op12_choleskyqr_whitening,
 }
 
 ORACLE: dict[str, str] = {
