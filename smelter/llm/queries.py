@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from smelter.llm.exact_dedup import exact_duplicates
+from smelter.llm.hard_negatives import hard_negatives
 from smelter.llm.html_blocks import extract_main_text
 from smelter.llm.licenses import scan_licenses
 from smelter.llm.line_dedup import line_report
@@ -71,6 +72,10 @@ def op12_choleskyqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(embeddings(spark, sf_dir))
 
 
+def op13_cover_tree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_jump_shards": op1_jump_shards,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_feistel_pseudonyms": op10_feistel_pseudonyms,
     "op12_choleskyqr_whitening": op12_choleskyqr_whitening,
+    "op13_cover_tree_negatives": op13_cover_tree_negatives,
 }
 
 ORACLE: dict[str, str] = {
@@ -124,4 +130,25 @@ ORACLE: dict[str, str] = {
                count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM d""",
+    "op13_cover_tree_negatives": """
+        WITH x AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        met AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+                   list_inner_product(a.v, c.v)::BIGINT AS score
+            FROM x a JOIN x c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+        positives AS (
+            SELECT anchor_id, id AS positive_id, score AS positive_score FROM met WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+        negatives AS (
+            SELECT p.*, m.id AS negative_id, m.score AS negative_score,
+                   row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY m.score DESC, m.id) AS place
+            FROM positives p JOIN met m ON m.anchor_id = p.anchor_id AND NOT m.same
+              AND 50 * positive_score <= 100 * m.score AND 100 * m.score <= 95 * positive_score)
+        SELECT anchor_id, positive_id, place::INTEGER AS rank, negative_id, positive_score, negative_score
+        FROM negatives WHERE place <= 3""",
 }
