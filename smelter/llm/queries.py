@@ -16,6 +16,7 @@ from smelter.llm.ngram_join import similar_documents
 from smelter.llm.packing import pack
 from smelter.llm.pii import pseudonymise
 from smelter.llm.quality import assess
+from smelter.llm.secret_scan import scan_secrets
 from smelter.llm.sharding import shard
 from smelter.llm.whitening import whiten
 
@@ -68,6 +69,10 @@ def op10_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonymise(documents(spark, sf_dir))
 
 
+def op11_grammar_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(documents(spark, sf_dir))
+
+
 def op12_choleskyqr_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(embeddings(spark, sf_dir))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_feistel_pseudonyms": op10_feistel_pseudonyms,
+    "op11_grammar_secrets": op11_grammar_secrets,
     "op12_choleskyqr_whitening": op12_choleskyqr_whitening,
     "op13_cover_tree_negatives": op13_cover_tree_negatives,
 }
