@@ -308,6 +308,42 @@ TABLES: dict[str, str] = {
     # An upsert of everything that changed must end in the full rebuild.
     "upsert_dim_customers": "select * from dim_customers",
     "upsert_dim_payment_types": "select * from dim_payment_types",
+    "incremental_dim_customers": "select * from dim_customers",
+    # Each line as of the last day it came, without those that have no product then; and, of the
+    # lines without a number, those of the second day.
+    "incremental_order_items": """
+        with lines as (
+          select order_id, order_item_id, min(product_id) as product_id, min(seller_id) as seller_id, min(price) as price,
+            min(freight_value) as freight_value, min(shipping_limit_date) as shipping_limit_date
+          from raw_order_items group by order_id, order_item_id),
+        days as (
+          select *, 1 as day from lines where cast(order_id as bigint) % 5 <> 0
+          union all
+          select * replace (price + 1 as price, case when cast(order_id as bigint) % 3 <> 0 then product_id end as product_id), 2
+          from lines where cast(order_id as bigint) % 7 = 0 and cast(order_id as bigint) % 5 <> 0
+          union all
+          select *, 2 from lines where cast(order_id as bigint) % 5 = 0 and cast(order_id as bigint) % 7 <> 0),
+        newest as (
+          select * exclude (day) from days
+          qualify row_number() over (partition by order_id, order_item_id order by day desc) = 1
+          union all
+          select * replace (null as order_item_id) from lines where cast(order_id as bigint) % 40 = 3)
+        select order_id, order_item_id, product_id, seller_id, order_id || '_' || cast(order_item_id as string) as order_line_id,
+          cast(price as decimal(10,2)) as price, cast(freight_value as decimal(10,2)) as freight_value,
+          cast(price + freight_value as decimal(10,2)) as line_total, shipping_limit_date as shipping_limit_at
+        from newest where product_id is not null""",
+    "incremental_products": """
+        with moved as (
+          select * replace (case when cast(product_id as bigint) % 9 = 0 then 'promo_pt' else product_category_name end as product_category_name)
+          from raw_products),
+        names as (
+          select product_category_name, case when product_category_name like '%s%' then upper(product_category_name_english)
+            else product_category_name_english end as english
+          from raw_category_translation)
+        select product_id, product_category_name as category_name_pt, coalesce(english, product_category_name) as category_name,
+          cast(product_weight_g as decimal(10,2)) as weight_grams,
+          cast(product_length_cm as bigint) * product_height_cm * product_width_cm as volume_cm3
+        from moved left join names using (product_category_name)""",
     "since_fct_sales": "select * from fct_sales",
     "since_fct_order_reviews": "select * from fct_order_reviews",
     # One file name in two folders; the first folder's file was extracted again without odd customers.
@@ -412,6 +448,8 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "mart_sales_month": ("revenue",),
     "mart_seller_rank": ("revenue",),
     "preview_products": ("product_weight_g",),
+    "incremental_order_items": ("price", "freight_value", "line_total"),
+    "incremental_products": ("weight_grams",),
 }
 
 

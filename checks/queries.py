@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from checks.adapters import RAW_INPUTS, RAW_VIEWS, TEST_TABLES
 from smelter.functions import columns as C
 from smelter.operators.audit import audit
+from smelter.operators.incremental import arrived, merged, newest_rows, rebuilt
 from smelter.operators.merge import latest_per_file, latest_per_key, replace_from, upsert
 from smelter.plans import gold
+from smelter.plans.incremental import entity_update, silver_rows, silver_update
 from smelter.plans.steps import GOLD_CHECKS, SILVER_CHECKS, STEPS, derive
-from smelter.schemas import FACT_TIMES, PARTITIONS, RAW_TABLES
+from smelter.schemas import FACT_TIMES, FILE, PARTITIONS, RAW_TABLES
 from smelter.sources.csv import EXTRACTED_AT, SOURCE_PATH, stamp_lineage
 from smelter.sources.lake import preview
 
@@ -136,7 +138,8 @@ def upsert_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     raw = partial(raw_table, spark, sf_dir)
     customers, orders = derive("stg_customers", raw), derive("stg_orders", raw)
-    late = F.col("order_purchase_at") >= F.lit(SECOND_BATCH_FROM).cast("timestamp")
+    start = F.lit(SECOND_BATCH_FROM).cast("timestamp")
+    late = F.coalesce(F.col("order_purchase_at") >= start, F.lit(True))  # undated ones came last
     seen = orders.groupBy("customer_id").agg(
         F.count_if(~late).alias("early"), F.count_if(late).alias("late")
     )
@@ -173,6 +176,79 @@ def upsert_dim_payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(upsert(upsert(target, updates, ["payment_type"]), updates, ["payment_type"]))
 
 
+def incremental_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of a first day, updated by those of a second: new, dearer and unusable ones.
+
+    On the first day file a also has lines without a number. On the second day it comes
+    again with other ones, so those of the first day go; file b comes for the first time.
+    """
+    key = RAW_TABLES["raw_order_items"].key
+    view = raw_view(spark, sf_dir, "raw_order_items")
+    rest = [c for c in view.columns if c not in key]
+    lines = view.groupBy(*key).agg(*(F.min(c).alias(c) for c in rest))  # numbers repeat in the test tables
+    order = F.col("order_id").cast("long")
+    unnumbered = lines.withColumn("order_item_id", F.lit(None).cast("int"))
+
+    def extracted(rows: DataFrame, file: str, day: str) -> DataFrame:
+        stamped = stamp_lineage(rows, F.lit(f"{file}.csv"), F.lit(f"raw/{file}.csv"))
+        return stamped.withColumn(EXTRACTED_AT, F.lit(day).cast("timestamp"))
+
+    monday = extracted(
+        lines.filter(order % 5 != 0).unionByName(unnumbered.filter(order % 40 == 1)), "a", "2024-01-01"
+    )
+    again = lines.filter(order % 7 == 0).withColumns(
+        {
+            "price": F.col("price") + 1,
+            "product_id": F.when(order % 3 != 0, F.col("product_id")),
+        }
+    )
+    tuesday = extracted(
+        again.filter(order % 5 != 0).unionByName(unnumbered.filter(order % 40 == 3)), "a", "2024-01-02"
+    ).unionByName(
+        extracted(lines.filter((order % 5 == 0) & (order % 7 != 0)), "b", "2024-01-02")
+    )
+    stored = silver_rows("stg_order_items", newest_rows(monday, key))
+    came = arrived(tuesday, key)
+    built, keys = silver_update("stg_order_items", stored, came, {})
+    return comparable(merged(stored, built, keys, came.files, key).drop(FILE))
+
+
+def incremental_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of a first day, updated by some that changed and by categories that got another name."""
+    products = raw_table(spark, sf_dir, "raw_products")
+    names = raw_table(spark, sf_dir, "raw_category_translation")
+    part = F.col("product_id").cast("long")
+    moved = products.filter(part % 9 == 0).withColumn(
+        "product_category_name", F.lower(F.lit("PROMO_pt"))
+    )
+    renamed = names.filter(F.col("product_category_name").like("%s%")).withColumn(
+        "product_category_name_english", F.upper("product_category_name_english")
+    )
+    key, name_key = RAW_TABLES["raw_products"].key, RAW_TABLES["raw_category_translation"].key
+    stored = silver_rows("stg_products", newest_rows(products, key), [names])
+    state = names.join(renamed, list(name_key), "left_anti").unionByName(renamed)
+    came = arrived(moved, key)
+    lists = {"raw_category_translation": (state, arrived(renamed, name_key))}
+    built, keys = silver_update("stg_products", stored, came, lists)
+    return comparable(merged(stored, built, keys, came.files, key).drop(FILE))
+
+
+def incremental_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of the first orders; then orders come in, and some of the first turn out to be others'."""
+    raw = partial(raw_table, spark, sf_dir)
+    customers, orders = derive("stg_customers", raw), derive("stg_orders", raw)
+    number = F.col("order_id").cast("long")
+    other = F.col("customer_id").cast("long") % 7 + 1
+    mistaken = F.when(number % 3 == 0, other.cast("string")).otherwise(F.col("customer_id"))
+    first = orders.filter(number % 10 != 0).withColumn("customer_id", mistaken)
+    changed = (number % 10 == 0) | (number % 3 == 0)
+    touched = first.filter(changed).select("customer_id")
+    ids = touched.unionByName(orders.filter(changed).select("customer_id")).distinct()
+    stored = gold.dim_customers(customers, first)
+    updates = entity_update("dim_customers", customers, orders, ids)
+    return comparable(rebuilt(stored, updates, ids, ["customer_id"]))
+
+
 def since_query(fact: str) -> Query:
     """A fact of the first batch with the months of the second rebuilt.
 
@@ -223,6 +299,9 @@ QUERIES: dict[str, Query] = {
     "latest_per_file": newest_files,
     "upsert_dim_customers": upsert_dim_customers,
     "upsert_dim_payment_types": upsert_dim_payment_types,
+    "incremental_order_items": incremental_order_items,
+    "incremental_products": incremental_products,
+    "incremental_dim_customers": incremental_dim_customers,
     "since_fct_sales": since_query("fct_sales"),
     "since_fct_order_reviews": since_query("fct_order_reviews"),
     "audit_silver": audit_query(SILVER_CHECKS),

@@ -19,6 +19,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--lake", required=True, help="root folder of the layers")
     parser.add_argument("--append", action="store_true", help="append to bronze")
     parser.add_argument("--upsert", action="store_true", help="upsert gold")
+    parser.add_argument(
+        "--incremental", action="store_true", help="take in what has arrived since the last run"
+    )
     parser.add_argument("--since", type=date.fromisoformat, help="first month of facts to rebuild")
     parser.add_argument("--infer", action="store_true", help="let Spark guess raw types")
     parser.add_argument("--multiline", action="store_true", help="line breaks inside review text")
@@ -36,6 +39,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.table and not args.layer:
         parser.error("--table needs --layer")
+    if args.incremental and not (args.append and args.upsert):
+        parser.error("--incremental needs --append and --upsert")
     if args.since and not args.upsert:
         parser.error("--since needs --upsert")
 
@@ -44,6 +49,7 @@ def main(argv: list[str] | None = None) -> None:
     options = Options(
         bronze_append=args.append,
         gold_upsert=args.upsert,
+        incremental=args.incremental,
         facts_since=args.since,
         infer=args.infer,
         multiline=args.multiline,

@@ -8,6 +8,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from smelter.schemas import BUCKET
 from smelter.sinks.parquet import recover, replace_table
 from smelter.sources.csv import EXTRACTED_AT, SOURCE_FILE, SOURCE_PATH
 
@@ -37,16 +38,18 @@ def latest_per_file(df: DataFrame, extracts: DataFrame | None = None) -> DataFra
     the extracts when `df` is only a part of them.
     """
 
-    def file_of(rows: DataFrame) -> Column:
-        named = rows[SOURCE_FILE]
-        return F.coalesce(rows[SOURCE_PATH], named) if SOURCE_PATH in rows.columns else named
-
     seen = df if extracts is None else extracts
-    newest = seen.groupBy(file_of(seen).alias("_file")).agg(F.max(EXTRACTED_AT).alias("_newest"))
-    same = file_of(df).eqNullSafe(newest["_file"]) & (df[EXTRACTED_AT] == newest["_newest"])
+    newest = seen.groupBy(source_of(seen).alias("_file")).agg(F.max(EXTRACTED_AT).alias("_newest"))
+    same = source_of(df).eqNullSafe(newest["_file"]) & (df[EXTRACTED_AT] == newest["_newest"])
     return df.join(newest, same, "left_semi")
 
 
+def source_of(rows: DataFrame) -> Column:
+    """The file of each row: its whole path where that was stamped."""
+    named = rows[SOURCE_FILE]
+    return F.coalesce(rows[SOURCE_PATH], named) if SOURCE_PATH in rows.columns else named
+
+
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `updates`, plus the rows of `target` whose key is not among them.
 
@@ -73,5 +76,5 @@ def upsert_table(
 ) -> int:
     """Upsert into a stored table, which stays readable until the swap."""
     recover(spark, path)
-    merged = upsert(spark.read.parquet(path), updates, keys)
+    merged = upsert(spark.read.parquet(path).drop(BUCKET), updates, keys)
     return replace_table(spark, merged, path, partition_by)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from smelter.operators.merge import latest_per_file, latest_per_key
-from smelter.schemas import RAW_TABLES
+from smelter.operators.incremental import newest_rows
+from smelter.schemas import APPEND_PARTITIONS, RAW_TABLES
 from smelter.sources.csv import file_name, file_path, raw_location, read_csv, stamp_lineage
-from smelter.sources.lake import Lake
+from smelter.sources.lake import Lake, folders, names
 
 
 def extract(
@@ -26,17 +26,26 @@ def extract(
 
 
 def current(spark: SparkSession, lake: Lake, table: str) -> DataFrame:
-    """Newest state of a bronze table that extracts are appended to.
+    """Newest state of a bronze table that extracts are appended to."""
+    return newest_rows(lake.read(spark, table), RAW_TABLES[table].key)
 
-    Rows that share a key are versions of one another and the newest is kept. A
-    row with a gap in its key is no version of anything; it stays for as long as
-    the newest extract of its file has it.
+
+def days(spark: SparkSession, lake: Lake, table: str) -> dict[str, str] | None:
+    """For each day on which extracts were appended, a text that changes with its files.
+
+    None if the table also has files outside of the folders of days.
     """
-    stored = lake.read(spark, table)
-    key = RAW_TABLES[table].key
-    if not key:
-        return latest_per_file(stored)
-    gap = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in key))
-    return latest_per_key(stored.filter(~gap), key).unionByName(
-        latest_per_file(stored.filter(gap), stored)
-    )
+    found: dict[str, list[str]] = {}
+    for part in lake.parts(spark, table):
+        if any(name.endswith(".parquet") for name in names(spark, part)):
+            return None
+        for folder, files in folders(spark, part).items():
+            found.setdefault(folder.partition("=")[2], []).extend(files)
+    return {day: hashlib.sha256("\n".join(sorted(f)).encode()).hexdigest() for day, f in found.items()}
+
+
+def since(spark: SparkSession, lake: Lake, table: str, day: str) -> DataFrame:
+    """All extracts from a day on; the folders of earlier days aren't read."""
+    stored = lake.read(spark, table, layout=True)
+    (column,) = APPEND_PARTITIONS
+    return stored.filter(F.col(column) >= F.lit(day).cast("date")).drop(column)

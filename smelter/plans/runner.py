@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from smelter.operators.audit import audit
 from smelter.operators.merge import upsert_table
-from smelter.plans import bronze
+from smelter.plans import bronze, incremental
 from smelter.plans.steps import GOLD, GOLD_CHECKS, LAYERS, MARTS, SILVER, SILVER_CHECKS
 from smelter.schemas import APPEND_PARTITIONS, FACT_TIMES, PARTITIONS, RAW_TABLES
 from smelter.sinks.jdbc import export_table
 from smelter.session import shuffle_partitions
-from smelter.sinks.parquet import recover, replace_months, replace_table, write_table
+from smelter.sinks.buckets import recover_buckets
+from smelter.sinks.parquet import replace_months, replace_table, write_table
 from smelter.sources.csv import SOURCE_PATH, UNPARSED, raw_location
 from smelter.sources.lake import Lake, exists, size
 
@@ -56,6 +57,8 @@ class Options:
 
     bronze_append  keep earlier extracts and let silver read the newest rows
     gold_upsert    update and insert by key instead of replacing gold tables
+    incremental    silver and dimensions take in what has arrived since their last run
+                   (needs bronze_append and gold_upsert)
     facts_since    rebuild only the facts of this month and later, and those without
                    a time (needs gold_upsert)
     infer, multiline, tidy   see read_csv and the silver place names
@@ -66,6 +69,7 @@ class Options:
 
     bronze_append: bool = False
     gold_upsert: bool = False
+    incremental: bool = False
     facts_since: date | None = None
     infer: bool = False
     multiline: bool = False
@@ -77,6 +81,8 @@ class Options:
     def __post_init__(self) -> None:
         if self.facts_since and not self.gold_upsert:
             raise ValueError("facts_since needs gold_upsert: without it, all facts are rebuilt")
+        if self.incremental and not (self.bronze_append and self.gold_upsert):
+            raise ValueError("incremental needs bronze_append and gold_upsert")
 
 
 def _attempt(layer: str, table: str, work: Callable[[], Written | int | None]) -> Outcome:
@@ -125,11 +131,16 @@ def store_bronze(
             dated, lake.path(table), "append", tuple(APPEND_PARTITIONS), rebalance=False
         )
     else:
-        rows = write_table(df, lake.path(table))
+        rows = replace_table(spark, df, lake.path(table))
         lake.forget_stream(spark, table)
+        incremental.forget(spark, lake, table)
     return rows if failures is None else Written(rows, int(failures.get["unparsed"]))
 
 
+def _tidied(table: str, options: Options) -> dict[str, bool]:
+    return {"tidy": True} if options.tidy and table in ("stg_customers", "stg_sellers") else {}
+
+
 def _silver_input(
     spark: SparkSession, lake: Lake, options: Options
 ) -> Callable[[str], DataFrame]:
@@ -143,16 +154,21 @@ def _silver_input(
 
 
 def store_silver(spark: SparkSession, lake: Lake, table: str, options: Options) -> int:
+    if options.incremental:
+        return incremental.store_silver(spark, lake, table, **_tidied(table, options))
     step, read = SILVER[table], _silver_input(spark, lake, options)
-    extra = {"tidy": True} if options.tidy and table in ("stg_customers", "stg_sellers") else {}
-    return write_table(step.build(*map(read, step.inputs), **extra), lake.path(table))
+    rows = step.build(*map(read, step.inputs), **_tidied(table, options))
+    incremental.forget(spark, lake, table)
+    return replace_table(spark, rows, lake.path(table))
 
 
 def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) -> int:
     step, read, path = GOLD[table], _silver_input(spark, lake, options), lake.path(table)
     layout = PARTITIONS.get(table, {})
     inputs = [read(name) for name in step.inputs]
-    recover(spark, path)
+    if options.incremental and not layout:
+        return incremental.store_dimension(spark, lake, table, inputs)
+    recover_buckets(spark, path)
     update = options.gold_upsert and exists(spark, path)
 
     if layout:
@@ -169,9 +185,10 @@ def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) ->
         inputs[at] = inputs[at].filter((F.col(time) >= F.lit(first)) | F.col(time).isNull())
         df = _with_layout(step.build(*inputs), layout)
         return replace_months(spark, df, path, column, first.year * 100 + first.month)
+    incremental.forget(spark, lake, table)
     if update:
         return upsert_table(spark, path, step.build(*inputs), step.key)
-    return write_table(step.build(*inputs), path)
+    return replace_table(spark, step.build(*inputs), path)
 
 
 def run_layer(
@@ -195,7 +212,10 @@ def run_layer(
         options.shuffle_partitions or layer_width(spark, layer, lake, raw_root, names),
     )
     try:
-        return _attempt_all(spark, layer, names, work, options.workers, options.strict)
+        done = _attempt_all(spark, layer, names, work, options.workers, options.strict)
+        if layer == "gold" and options.incremental:
+            incremental.drop_old_notes(spark, lake)
+        return done
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 

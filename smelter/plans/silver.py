@@ -121,17 +121,21 @@ def products(raw_products: DataFrame, raw_category_translation: DataFrame) -> Da
         (length * height * width).alias("volume_cm3"),
         EXTRACTED_AT,
     )
+    return translated(measured, raw_category_translation)
+
+
+def translated(products: DataFrame, raw_category_translation: DataFrame) -> DataFrame:
+    """Add the English category to products, or the original name where there is none."""
     english = raw_category_translation.select(
         F.col("product_category_name").alias("category_name_pt"),
         F.col("product_category_name_english").alias("_english"),
     )
-    return measured.join(english, "category_name_pt", "left").select(
+    rest = [c for c in products.columns if c not in ("product_id", "category_name_pt")]
+    return products.join(english, "category_name_pt", "left").select(
         "product_id",
         "category_name_pt",
         F.coalesce("_english", "category_name_pt").alias("category_name"),
-        "weight_grams",
-        "volume_cm3",
-        EXTRACTED_AT,
+        *rest,
     )
 
 

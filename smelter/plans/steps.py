@@ -60,6 +60,9 @@ DIMENSIONS = {
     "dim_order_status": Step(gold.dim_order_status, ("stg_orders",), ("status_code",)),
 }
 
+#: Dimensions of entities: a row depends on the entity and on the facts that name it.
+ENTITIES = ("dim_customers", "dim_products", "dim_sellers")
+
 FACTS = {
     "fct_sales": Step(
         gold.fct_sales,

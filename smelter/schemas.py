@@ -153,6 +153,10 @@ PARTITIONS = {
 }
 APPEND_PARTITIONS = {"_ingest_date": "to_date(_extracted_at)"}
 
+# Columns of incremental tables that readers don't see: the folder of a key, and the
+# file of a row without a whole key.
+BUCKET, FILE = "_bucket", "_file"
+
 # Input and time column that decide about the month of a fact.
 FACT_TIMES = {
     "fct_sales": ("stg_orders", "order_purchase_at"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -55,17 +55,24 @@ def replace_months(
 
 
 def replace_table(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    finish: Callable[[str], None] | None = None,
 ) -> int:
     """Replace a table that `df` may itself be reading.
 
     The new version is written next to the old one and then swapped in, so a
     job that dies halfway leaves the old version in place. `recover` finishes a
-    swap that was cut short.
+    swap that was cut short. `finish` is called with the new version's folder
+    before the swap.
     """
     staging, previous = f"{path}__new", f"{path}__old"
     recover(spark, path)
     rows = write_table(df, staging, partition_by=partition_by)
+    if finish:
+        finish(staging)
     if lake.exists(spark, path):
         lake.rename(spark, path, previous)
     lake.rename(spark, staging, path)

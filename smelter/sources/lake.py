@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from smelter.schemas import APPEND_PARTITIONS, PARTITIONS
+from smelter.schemas import APPEND_PARTITIONS, BUCKET, FILE, PARTITIONS
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -40,6 +40,14 @@ class Lake:
     def progress_path(self, table: str) -> str:
         return f"{self.layer_path('_progress')}/{table}"
 
+    def mark_path(self, table: str, source: str) -> str:
+        """What `table` has taken in of `source`."""
+        return f"{self.layer_path('_marks')}/{table}/{source}"
+
+    def changes_path(self, table: str) -> str:
+        """A folder for each run that has changed the table."""
+        return f"{self.layer_path('_changes')}/{table}"
+
     def parts(self, spark: SparkSession, table: str) -> list[str]:
         """The folders that hold the table: that of the runs, and that of the stream."""
         found = [p for p in (self.path(table), self.stream_path(table)) if exists(spark, p)]
@@ -57,7 +65,7 @@ class Lake:
         stored = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole)
         if layout:
             return stored
-        return stored.drop(*APPEND_PARTITIONS, *PARTITIONS.get(table, {}))
+        return stored.drop(*APPEND_PARTITIONS, *PARTITIONS.get(table, {}), BUCKET, FILE)
 
 
 def _hadoop_path(spark: SparkSession, path: str):
@@ -82,6 +90,39 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(jpath, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    jpath, fs = _hadoop_path(spark, path)
+    fs.mkdirs(jpath)
+
+
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none if it isn't there."""
+    jpath, fs = _hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Store a short text, which is there as a whole or not at all."""
+    staging = f"{path}__new"
+    jpath, fs = _hadoop_path(spark, staging)
+    out = fs.create(jpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    remove(spark, path)
+    rename(spark, staging, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    jpath, fs = _hadoop_path(spark, path)
+    if not fs.exists(jpath):
+        return None
+    data = fs.open(jpath)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8")
+    finally:
+        data.close()
+
+
 def size(spark: SparkSession, pattern: str) -> int:
     """Bytes of all files that a path or pattern names."""
     jpath, fs = _hadoop_path(spark, pattern)

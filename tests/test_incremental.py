@@ -1,0 +1,350 @@
+"""Incremental runs: what they read, what they write, and that they end where full runs end."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from smelter.operators.incremental import arrived, merged, newest_rows
+from smelter.plans import bronze, incremental, runner
+from smelter.plans.runner import Options, run_layer
+from smelter.plans.steps import ENTITIES, GOLD, LAYERS, SILVER
+from smelter.sinks import buckets, parquet
+from smelter.sinks.buckets import bucket_count, bucket_of, read_buckets, replace_buckets, write_buckets
+from smelter.sources import lake as lakes
+from smelter.sources.lake import Lake
+from tests.conftest import rows
+
+UPDATING = Options(bronze_append=True, gold_upsert=True, incremental=True)
+
+HEADERS = {
+    "customers": "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state",
+    "orders": "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+    "order_delivered_customer_date,order_estimated_delivery_date",
+    "order_items": "order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value",
+    "order_payments": "order_id,payment_sequential,payment_type,payment_installments,payment_value",
+    "order_reviews": "review_id,order_id,review_score,review_comment_title,review_comment_message,review_creation_date",
+    "products": "product_id,product_category_name,product_weight_g,product_length_cm,product_height_cm,product_width_cm",
+    "sellers": "seller_id,seller_zip_code_prefix,seller_city,seller_state",
+    "geolocation": "geolocation_zip_code_prefix,geolocation_lat,geolocation_lng,geolocation_city,geolocation_state",
+    "translation": "product_category_name,product_category_name_english",
+}
+
+
+def customer(i, state="SP"):
+    return f"c{i},u{i % 5},0{i % 3},town,{state}"
+
+
+def order(i, c, status="delivered", day=1):
+    return f"o{i},c{c},{status},2018-01-{day:02} 10:00:00,,,2018-01-{day + 3:02} 10:00:00,2018-02-01 00:00:00"
+
+
+def item(i, n, p, s="s1", price=5):
+    return f"o{i},{n},{p},{s},2018-01-09 00:00:00,{price},1"
+
+
+FIRST = {
+    "customers": [customer(i) for i in range(40)],
+    "orders": [order(i, i % 30) for i in range(40)],
+    "order_items": [*(item(i, n, f"p{(i + n) % 20}", f"s{i % 4}") for i in range(40) for n in (1, 2)), item(1, "", "p1"), item(2, "", "p2")],
+    "order_payments": [*(f"o{i},1,boleto,1,5" for i in range(40)), "o1,,voucher,1,2"],
+    "order_reviews": [*(f"r{i},o{i},{i % 5 + 1},,,2018-01-05 00:00:00" for i in range(40)), "r90,,3,,,2018-01-05 00:00:00"],
+    "products": [f"p{i},cat{i % 4},600,1,2,3" for i in range(20)],
+    "sellers": [f"s{i},01,town,SP" for i in range(4)],
+    "geolocation": [f"0{i},1,2,town,SP" for i in range(3)],
+    "translation": ["cat0,zero", "cat1,one"],
+}
+
+
+def needed(tables):
+    """The tables, and all that they are built from."""
+    found = set(tables)
+    for _ in LAYERS:
+        found |= {i for t in found if t in SILVER or t in GOLD for i in (SILVER | GOLD)[t].inputs}
+    return found
+
+
+class Shop:
+    """Raw files, and a lake that is brought up to date day by day."""
+
+    def __init__(self, spark, root, monkeypatch):
+        self.spark, self.root, self.lake, self.monkeypatch = spark, root, Lake(str(root / "lake")), monkeypatch
+        self.raw = root / "raw"
+        self.raw.mkdir()
+
+    def put(self, **files):
+        for name, lines in files.items():
+            file = "product_category_name_translation.csv" if name == "translation" else f"x_{name}_dataset.csv"
+            (self.raw / file).write_text("\n".join([HEADERS[name], *lines]) + "\n")
+
+    def run(self, day, options=UPDATING, layers=("bronze", "silver", "gold"), tables=None):
+        """A run whose extracts carry the given day."""
+        stamp = runner.bronze.stamp_lineage
+
+        def dated(df, source, path=None):
+            return stamp(df, source, path).withColumn("_extracted_at", F.lit(f"2024-01-{day:02} 05:00:00").cast("timestamp"))
+
+        done = []
+        with self.monkeypatch.context() as patch:
+            patch.setattr(runner.bronze, "stamp_lineage", dated)
+            for layer in layers:
+                names = [t for t in LAYERS[layer] if tables is None or t in needed(tables)]
+                done += run_layer(self.spark, layer, self.lake, str(self.raw), options, names).collect()
+        return {r.table: r.rows for r in done}
+
+    def bag(self, table, lake=None):
+        stored = (lake or self.lake).read(self.spark, table)
+        kept = sorted(c for c in stored.columns if c != "_extracted_at")
+        return rows(stored.select(*(F.col(c).cast("string") for c in kept)).orderBy(*kept))
+
+    def differs_from_whole(self, day, tables=None):
+        """Tables that don't equal those of a run that builds everything anew from the same extracts."""
+        lake, tables = Lake(str(self.root / f"whole{day}")), [*SILVER, *GOLD] if tables is None else tables
+        for table in LAYERS["bronze"]:
+            if not Path(self.lake.path(table)).exists():
+                continue
+            (self.root / f"whole{day}" / "bronze").mkdir(parents=True, exist_ok=True)
+            (self.root / f"whole{day}" / "bronze" / table).symlink_to(self.lake.path(table))
+        for layer in ("silver", "gold"):
+            names = [t for t in LAYERS[layer] if t in needed(tables)]
+            run_layer(self.spark, layer, lake, options=Options(bronze_append=True), tables=names)
+        return [t for t in tables if self.bag(t) != self.bag(t, lake)]
+
+    def files(self, table):
+        return lakes.folders(self.spark, self.lake.path(table))
+
+
+@pytest.fixture
+def shop(spark, tmp_path, monkeypatch):
+    made = Shop(spark, tmp_path, monkeypatch)
+    made.put(**FIRST)
+    return made
+
+
+SECOND = {
+    "customers": [customer(3, "RJ"), customer(99)],
+    # o1 moves to another customer, o2 changes, o50 is new
+    "orders": [order(1, 31), order(2, 2, "shipped", 2), order(50, 99)],
+    # o3,1 is dearer; o4,1 can't be used any more; o5,1 is another product; o1's line without a number is replaced
+    "order_items": [item(3, 1, "p4", price=9), item(4, 1, ""), item(5, 1, "p19", "s9"), item(50, 1, "p7"), item(7, "", "p3")],
+    "order_payments": ["o1,1,voucher,1,7", "o50,1,boleto,1,1", "o9,,boleto,1,3"],
+    "order_reviews": ["r1,o1,1,,,2018-01-06 00:00:00", "r91,,2,,,2018-01-06 00:00:00"],
+    "products": ["p1,cat2,100,1,1,1", "p77,cat0,1,1,1,1"],
+    "sellers": ["s9,02,city,RS"],
+    "geolocation": ["09,1,1,x,RJ"],
+    "translation": ["cat1,uno", "cat2,two"],
+}
+
+
+def test_updates_end_where_full_runs_end(shop):
+    shop.run(1)
+    shop.put(**SECOND)
+    shop.run(2)
+    assert shop.differs_from_whole(2) == []
+
+
+def test_only_touched_folders_are_written_and_nothing_if_nothing_came(shop, spark):
+    shop.run(1)
+    before = {t: shop.files(t) for t in (*SILVER, *ENTITIES, "dim_geolocation")}
+    assert shop.run(1, layers=("silver", "gold"), tables=[*SILVER, *ENTITIES, "dim_geolocation"]) == dict.fromkeys(before, 0)
+    assert {t: shop.files(t) for t in before} == before
+
+    shop.put(**{name: lines[:1] for name, lines in SECOND.items()})
+    shop.put(translation=FIRST["translation"], geolocation=FIRST["geolocation"] + SECOND["geolocation"])
+    shop.run(2)
+    for table in before:
+        after = shop.files(table)
+        same = [k for k in before[table] if after[k] == before[table][k]]
+        assert len(same) < len(after), table
+        assert len(same) >= 3, table  # these still have the files of the first day
+    assert shop.differs_from_whole(2) == []
+
+
+def test_taking_a_day_in_again_changes_nothing(shop, spark):
+    some = ["dim_products", "dim_customers", "stg_order_payments"]
+    silver = [t for t in SILVER if t in needed(some)]
+    shop.run(1, tables=some)
+    shop.put(**SECOND)
+    shop.run(2, tables=some)
+    before = {t: shop.bag(t) for t in (*silver, *ENTITIES[:2])}
+    for table in silver:  # as if the run had died before it remembered the second day
+        for raw in SILVER[table].inputs:
+            path = shop.lake.mark_path(table, raw)
+            days = [x for x in lakes.read_text(spark, path).splitlines() if x.startswith("2024-01-01")]
+            lakes.write_text(spark, path, "\n".join(days))
+    assert all(shop.run(2, layers=("silver", "gold"), tables=some).values())
+    assert {t: shop.bag(t) for t in before} == before
+
+
+def test_earlier_days_are_not_read(shop, spark):
+    for day in (1, 2, 3):
+        shop.run(day, layers=("bronze",))
+    extracts = bronze.since(spark, shop.lake, "raw_orders", "2024-01-03")
+    plan = arrived(extracts, ("order_id",)).newest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_ingest_date" in plan and "2024-01-03" in plan
+    read = {r[0] for r in extracts.select("_metadata.file_path").distinct().collect()}
+    assert read and all("_ingest_date=2024-01-03" in path for path in read)
+
+
+def test_a_late_file_of_an_earlier_day_is_taken_in(shop, spark):
+    few = ["dim_customers"]
+    shop.run(1, tables=few)
+    shop.put(orders=[order(60, 1)])
+    shop.run(3, tables=few)
+    shop.put(orders=[order(60, 2, "canceled"), order(61, 2)])  # older than what is known of o60
+    shop.run(2, tables=few)
+    assert shop.differs_from_whole(3, ["stg_orders", "dim_customers"]) == []
+
+
+def test_first_change():
+    known = {"2024-01-01": "a", "2024-01-02": "b"}
+    assert incremental.first_change(known, known) is None
+    assert incremental.first_change(known, {"2024-01-02": "b"}) is None
+    assert incremental.first_change(known, {**known, "2024-01-03": "c"}) == "2024-01-03"
+    assert incremental.first_change(known, {**known, "2024-01-01": "x", "2024-01-03": "c"}) == "2024-01-01"
+    assert incremental.first_change({}, {}) is None
+
+
+def test_other_ways_of_running_are_noticed(shop, spark):
+    some = ["dim_products", "dim_customers", "dim_order_status"]
+    shop.run(1, tables=some)
+    shop.put(**SECOND)
+    # silver anew from the newest rows, then incremental again
+    shop.run(2, Options(bronze_append=True), ("bronze", "silver"), some)
+    assert bucket_count(spark, shop.lake.path("stg_orders")) is None
+    shop.run(3, tables=some)
+    assert shop.differs_from_whole(3, some) == []
+    assert bucket_count(spark, shop.lake.path("stg_orders"))
+    # bronze overwritten: what is not in the new extracts is gone
+    shop.run(4, Options(), tables=some)
+    assert shop.lake.read(spark, "stg_orders").count() == 3
+    shop.run(4, UPDATING, ("silver", "gold"), some)
+    assert shop.lake.read(spark, "stg_orders").count() == 3
+
+
+def test_old_notes_go(shop, spark):
+    few = ["dim_customers", "dim_sellers"]
+    shop.run(1, tables=few)
+    for day in (2, 3, 4):
+        shop.put(orders=[order(day, 7)], sellers=[f"s{day},03,x,RJ"])
+        shop.run(day, tables=few)
+    assert len(lakes.names(spark, shop.lake.changes_path("stg_orders"))) == 1
+    assert shop.differs_from_whole(4, ["dim_customers", "dim_sellers"]) == []
+
+
+def test_incremental_needs_append_and_upsert():
+    with pytest.raises(ValueError, match="incremental"):
+        Options(incremental=True, gold_upsert=True)
+
+
+# --- folders by key --------------------------------------------------------------------
+
+
+@pytest.fixture
+def laid_out(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("id"), (F.col("id") * 2).alias("v"))
+    assert write_buckets(spark, df, path, bucket_of([F.col("id")], 8), 8) == 100
+    return path
+
+
+def stored(spark, path):
+    return rows(spark.read.parquet(path).select("id", "v"), "id")
+
+
+def folders_of(spark, ids):
+    n = bucket_of([F.col("id")], 8)
+    return sorted(r[0] for r in spark.createDataFrame([(i,) for i in ids], "id long").select(n).distinct().collect())
+
+
+def test_a_folder_is_replaced_and_may_become_empty(spark, laid_out):
+    keys = bucket_of([F.col("id")], 8)
+    (k,) = folders_of(spark, [5])
+    before = lakes.folders(spark, laid_out)
+    gone = read_buckets(spark, laid_out, [k]).filter("false")
+    replace_buckets(spark, gone, laid_out, keys, [k])
+    left = stored(spark, laid_out)
+    assert 0 < len(left) < 100 and all(folders_of(spark, [i]) != [k] for i, _ in left[1:])
+    after = lakes.folders(spark, laid_out)
+    assert {f: x for f, x in after.items() if f != f"_bucket={k}"} == {f: x for f, x in before.items() if f != f"_bucket={k}"}
+    replace_buckets(spark, spark.createDataFrame([(5, 1)], "id long, v long"), laid_out, keys, [k])
+    assert (5, 1) in stored(spark, laid_out)
+    plan = read_buckets(spark, laid_out, [k])._jdf.queryExecution().toString()
+    assert f"PartitionFilters: [_bucket#" in plan
+
+
+def test_all_rows_may_go(spark, laid_out):
+    nothing = spark.read.parquet(laid_out).filter("false").drop("_bucket")
+    replace_buckets(spark, nothing, laid_out, bucket_of([F.col("id")], 8), range(8))
+    assert stored(spark, laid_out) == []
+
+
+@pytest.mark.parametrize("dies_in", ["write", "ready", "swap"])
+def test_a_run_that_dies_leaves_a_readable_table(spark, laid_out, monkeypatch, dies_in):
+    first = stored(spark, laid_out)
+    keys = bucket_of([F.col("id")], 8)
+    updates = read_buckets(spark, laid_out, range(8)).withColumn("v", F.lit(7).cast("long"))
+    left = {"write": 0, "ready": 0, "swap": 5}[dies_in]
+
+    def dying(original):
+        def call(*args, **kwargs):
+            nonlocal left
+            if not left:
+                raise RuntimeError("died")
+            left -= 1
+            return original(*args, **kwargs)
+
+        return call
+
+    with monkeypatch.context() as patch:
+        if dies_in == "write":
+            patch.setattr(buckets, "write_table", dying(buckets.write_table))
+        elif dies_in == "ready":
+            patch.setattr(lakes, "write_text", dying(lakes.write_text))
+        else:
+            patch.setattr(lakes, "rename", dying(lakes.rename))
+            left += 1  # the marker's own
+        with pytest.raises(RuntimeError, match="died"):
+            replace_buckets(spark, updates, laid_out, keys, range(8))
+    if dies_in != "swap":
+        assert stored(spark, laid_out) == first
+    buckets.recover_buckets(spark, laid_out)
+    assert stored(spark, laid_out) == (first if dies_in != "swap" else [(i, 7) for i, _ in first])
+    assert not lakes.exists(spark, f"{laid_out}__swap") and not lakes.exists(spark, f"{laid_out}__gone")
+
+
+def test_a_plain_overwrite_that_dies_leaves_the_old_table(shop, spark, monkeypatch):
+    plain = Options()
+    shop.run(1, plain)
+    before = {t: shop.bag(t) for t in ("raw_sellers", "stg_sellers", "dim_sellers")}
+    shop.put(sellers=["s1,01,x,RJ"])
+    with monkeypatch.context() as patch:
+
+        def dies(*args, **kwargs):
+            parquet.lake.make_folder(spark, args[1])  # a write that has begun
+            raise RuntimeError("died")
+
+        patch.setattr(parquet, "write_table", dies)
+        done = {}
+        for layer, table in (("bronze", "raw_sellers"), ("silver", "stg_sellers"), ("gold", "dim_sellers")):
+            lenient = Options(strict=False)
+            done[table] = run_layer(spark, layer, shop.lake, str(shop.raw), lenient, [table]).first().status
+    assert set(done.values()) == {"failed"}
+    assert {t: shop.bag(t) for t in before} == before
+
+
+def test_rows_without_a_whole_key_follow_their_file(table):
+    schema = "k int, l int, v string, _extracted_at timestamp, _source_file string"
+    key = ("k", "l")
+    first = table(schema, (1, 1, "a", "2024-01-01 00:00:00", "f"), (1, None, "b", "2024-01-01 00:00:00", "f"), (2, None, "c", "2024-01-01 00:00:00", "g"))
+    then = table(schema, (1, 1, "d", "2024-01-02 00:00:00", "f"), (3, None, "e", "2024-01-02 00:00:00", "h"))
+
+    def with_file(df):
+        return df.withColumn("_file", F.when(F.col("l").isNull(), F.col("_source_file")))
+
+    came = arrived(then, key)
+    got = merged(with_file(newest_rows(first, key)), with_file(came.newest), came.keys, came.files, key)
+    want = newest_rows(first.unionByName(then), key)
+    assert rows(got.select("k", "l", "v"), "k", "l", "v") == rows(want.select("k", "l", "v"), "k", "l", "v")
