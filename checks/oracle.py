@@ -353,6 +353,9 @@ TABLES: dict[str, str] = {
         select *, 'part-0.csv' as _source_file from raw_geolocation
         where cast(geolocation_zip_code_prefix as int) % 2 = 0""",
 }
+# Marts merged from monthly sums must equal those over all rows.
+for _name in ("executive", "sales_category", "sales_state", "sales_month", "seller_rank", "delivery", "satisfaction"):
+    TABLES[f"merged_mart_{_name}"] = f"select * from mart_{_name}"
 for _name in RAW_VIEWS:
     TABLES[f"bronze_{_name.removeprefix('raw_')}"] = (
         f"select *, '{_name}.csv' as _source_file from {_name}"
@@ -447,6 +450,11 @@ DOUBLES: dict[str, tuple[str, ...]] = {
     "mart_sales_state": ("revenue",),
     "mart_sales_month": ("revenue",),
     "mart_seller_rank": ("revenue",),
+    "merged_mart_executive": ("total_revenue",),
+    "merged_mart_sales_category": ("revenue",),
+    "merged_mart_sales_state": ("revenue",),
+    "merged_mart_sales_month": ("revenue",),
+    "merged_mart_seller_rank": ("revenue",),
     "preview_products": ("product_weight_g",),
     "incremental_order_items": ("price", "freight_value", "line_total"),
     "incremental_products": ("weight_grams",),

@@ -21,6 +21,7 @@ from smelter.operators.merge import latest_per_file, latest_per_key, replace_fro
 from smelter.plans import gold
 from smelter.plans.incremental import entity_update, silver_rows, silver_update
 from smelter.plans.steps import GOLD_CHECKS, SILVER_CHECKS, STEPS, derive
+from smelter.plans.summaries import MERGED, SUMMARIES, with_month
 from smelter.schemas import FACT_TIMES, FILE, PARTITIONS, RAW_TABLES
 from smelter.sources.csv import EXTRACTED_AT, SOURCE_PATH, stamp_lineage
 from smelter.sources.lake import preview
@@ -276,6 +277,29 @@ def since_query(fact: str) -> Query:
     return run
 
 
+def merged_query(mart: str) -> Query:
+    """A mart merged from monthly summaries."""
+    build, inputs = MERGED[mart]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        raw = partial(raw_table, spark, sf_dir)
+        made: dict[str, DataFrame] = {}
+
+        def get(name: str) -> DataFrame:
+            if name not in made:
+                summary = SUMMARIES.get(name)
+                if summary is None:
+                    made[name] = derive(name, raw)
+                else:
+                    fact = with_month(get(summary.fact), summary.fact)
+                    made[name] = summary.build(fact, *map(get, summary.inputs))
+            return made[name]
+
+        return comparable(build(*map(get, inputs)))
+
+    return run
+
+
 def audit_query(checks) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         made: dict[str, DataFrame] = {}
@@ -304,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "incremental_dim_customers": incremental_dim_customers,
     "since_fct_sales": since_query("fct_sales"),
     "since_fct_order_reviews": since_query("fct_order_reviews"),
+    **{f"merged_{name}": merged_query(name) for name in MERGED},
     "audit_silver": audit_query(SILVER_CHECKS),
     "audit_gold": audit_query(GOLD_CHECKS),
 }

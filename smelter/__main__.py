@@ -6,11 +6,13 @@ import argparse
 from datetime import date
 
 from smelter.plans.runner import Options, audit_lake, export_gold, mart, run_all, run_layer
-from smelter.plans.steps import LAYERS, MARTS
+from smelter.plans.steps import LAYERS, MARTS, SILVER
+from smelter.plans.summaries import MERGED, merged_mart, update_summaries
 from smelter.schemas import RAW_TABLES
 from smelter.session import get_session
 from smelter.sources.lake import Lake, preview_with_count, tables
 from smelter.streaming.append import append_new_files
+from smelter.streaming.upsert import upsert_from_stream
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -30,8 +32,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--jdbc-driver", help="driver class of the SQL store")
     parser.add_argument("--layer", choices=LAYERS, help="build this layer only")
     parser.add_argument("--table", action="append", help="with --layer: this table only; repeatable")
-    parser.add_argument("--stream", action="store_true", help="take in new raw files, each once, and stop")
+    parser.add_argument("--stream", action="store_true", help="take in new raw files, each once, and stop; with --incremental also into silver")
     parser.add_argument("--mart", choices=MARTS, help="show a mart of the stored lake and stop")
+    parser.add_argument(
+        "--summaries", action="store_true",
+        help="bring the monthly summaries up to date; with --mart: show it from them",
+    )
     parser.add_argument("--preview", help="show first rows and row count of a stored table and stop")
     parser.add_argument("--workers", type=int, default=4, help="tables built at the same time")
     parser.add_argument("--lenient", action="store_true", help="go on after a layer with failures")
@@ -39,6 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     args = parser.parse_args(argv)
     if args.table and not args.layer:
         parser.error("--table needs --layer")
+    if args.mart and args.summaries and args.mart not in MERGED:
+        parser.error(f"{args.mart} has no summaries")
     if args.incremental and not (args.append and args.upsert):
         parser.error("--incremental needs --append and --upsert")
     if args.since and not args.upsert:
@@ -59,7 +67,8 @@ def main(argv: list[str] | None = None) -> None:
         shuffle_partitions=args.shuffle_partitions,
     )
     if args.mart:
-        mart(spark, lake, args.mart).show(1000, truncate=False)
+        source = merged_mart if args.summaries else mart
+        source(spark, lake, args.mart).show(1000, truncate=False)
         return
     if args.preview:
         first, count = preview_with_count(lake.read(spark, args.preview))
@@ -69,11 +78,18 @@ def main(argv: list[str] | None = None) -> None:
     if args.stream:
         for table in args.table or RAW_TABLES:
             append_new_files(spark, args.raw, lake, table, args.multiline).awaitTermination()
+        if args.incremental:
+            taken = [t for t, step in SILVER.items() if step.inputs[0] in (args.table or RAW_TABLES)]
+            for table in taken:
+                upsert_from_stream(spark, lake, table).awaitTermination()
         return
     if args.layer:
         done = [run_layer(spark, args.layer, lake, args.raw, options, args.table)]
     else:
         done = [run_all(spark, args.raw, lake, options)]
+    if args.summaries:
+        for name, months in update_summaries(spark, lake).items():
+            print(f"{name}: {len(months)} months")
     if args.jdbc_url:
         properties = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
         done.append(export_gold(spark, lake, args.jdbc_url, properties))

@@ -43,7 +43,7 @@ CARRIED = {
 
 
 def forget(spark: SparkSession, lake: Lake, table: str) -> None:
-    """Called when `table` was written as a whole: it has taken in nothing, and nothing knows what changed in it."""
+    """Called when `table` is written as a whole: it has taken in nothing, and nothing knows what changed in it."""
     remove(spark, f"{lake.layer_path('_marks')}/{table}")
     remove(spark, lake.changes_path(table))
     for step_name, step in (SILVER | GOLD).items():
@@ -130,17 +130,7 @@ def store_silver(spark: SparkSession, lake: Lake, table: str, **extra) -> int:
             return 0
         came = _arrived(spark, lake, main, first[main])
         lists = {raw: (states[raw], first[raw] and _arrived(spark, lake, raw, first[raw])) for raw in others}
-        # which products a new category name touches is looked up in the whole table, all else by its key
-        whole = spark.read.parquet(path).drop(BUCKET)
-        _, keys = silver_update(table, whole, came, lists, **extra)
-        by_key = keys.select(bucket_of([F.col(c) for c in step.key], n))
-        by_file = came.files.select(bucket_of([F.col(FILE)], n))
-        folders = _folders(by_key.union(by_file))
-        stored = read_buckets(spark, path, folders)
-        built, keys = silver_update(table, stored, came, lists, **extra)
-        _note(spark, lake, table, replaced(stored, keys, came.files, step.key), built)
-        rows = merged(stored, built, keys, came.files, step.key)
-        written = replace_buckets(spark, rows, path, silver_bucket(table, n), folders)
+        written = take_in(spark, lake, table, came, lists, n, **extra)
     for raw, days in found.items():
         if days is not None:
             text = "\n".join(f"{day} {files}" for day, files in sorted(days.items()))
@@ -148,6 +138,30 @@ def store_silver(spark: SparkSession, lake: Lake, table: str, **extra) -> int:
     return written
 
 
+def take_in(
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    came: Arrived,
+    lists: Mapping[str, tuple[DataFrame, Arrived | None]],
+    n: int,
+    **extra,
+) -> int:
+    """Merge what has arrived into the folders of a silver table that it touches."""
+    step, path = SILVER[table], lake.path(table)
+    # which products a new category name touches is looked up in the whole table, all else by its key
+    whole = spark.read.parquet(path).drop(BUCKET)
+    _, keys = silver_update(table, whole, came, lists, **extra)
+    by_key = keys.select(bucket_of([F.col(c) for c in step.key], n))
+    by_file = came.files.select(bucket_of([F.col(FILE)], n))
+    folders = _folders(by_key.union(by_file))
+    stored = read_buckets(spark, path, folders)
+    built, keys = silver_update(table, stored, came, lists, **extra)
+    _note(spark, lake, table, replaced(stored, keys, came.files, step.key), built)
+    rows = merged(stored, built, keys, came.files, step.key)
+    return replace_buckets(spark, rows, path, silver_bucket(table, n), folders)
+
+
 def _arrived(spark: SparkSession, lake: Lake, raw: str, day: str | None) -> Arrived:
     extracts = bronze.since(spark, lake, raw, day) if day else lake.read(spark, raw).limit(0)
     return arrived(extracts, RAW_TABLES[raw].key)

@@ -69,15 +69,22 @@ def read_buckets(spark: SparkSession, path: str, buckets: Sequence[int]) -> Data
 def replace_buckets(
     spark: SparkSession, df: DataFrame, path: str, bucket: Column, buckets: Sequence[int]
 ) -> int:
-    """Replace the folders `buckets` by the rows of `df`, all of which belong there.
+    """Replace the folders `buckets` by the rows of `df`, all of which belong there."""
+    return replace_folders(spark, df.withColumn(BUCKET, bucket), path, BUCKET, buckets)
+
+
+def replace_folders(
+    spark: SparkSession, df: DataFrame, path: str, column: str, values: Sequence[int | str]
+) -> int:
+    """Replace the folders of some values of `column` by the rows of `df`, all of which belong there.
 
     `df` may read the table itself. A folder for which it has no rows becomes empty.
     """
-    swap, gone = _staging(path)
+    swap, _ = _staging(path)
     recover_buckets(spark, path)
-    rows = write_table(df.withColumn(BUCKET, bucket), swap, partition_by=(BUCKET,))
-    for k in buckets:
-        lake.make_folder(spark, f"{swap}/{BUCKET}={k}")
+    rows = write_table(df, swap, partition_by=(column,))
+    for value in values:
+        lake.make_folder(spark, f"{swap}/{column}={value}")
     lake.write_text(spark, f"{swap}/{READY}", "")
     recover_buckets(spark, path)
     return rows
