@@ -116,11 +116,12 @@ def schedule(spark, plan: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """Every row of `docs` with what the mix takes of it: doc_id, source, size, source_size, target, start, taken, first_pass, second_pass.
+    """Every row of `docs` with what the mix takes of it: doc_id, source, size, source_size, target, start, taken, first_pass, second_pass, first_slot, second_slot.
 
     `start` counts the words of the source before the row in shuffled order; the
     passes tell how many words are taken in the first and second round over the
-    source, always from the row's beginning. A null text has size 0, a null source is
+    source, always from the row's beginning, and in which slot of the schedule the
+    block lies that holds the first of them (null if none is taken). A null text has size 0, a null source is
     a source of its own, and rows without words take part with 0. The shuffle depends
     on doc_id and seed only, so reruns agree; repeated rows may change places.
     Other columns are ignored; an empty table gives no rows. One task holds the list
@@ -135,10 +136,10 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     begun = F.floor(F.col("turn") / F.col("blocks")) * F.col("source_size") + block * BLOCK
     slots = slots.select(
         *SOURCE, block.alias("block"), F.floor(F.col("turn") / F.col("blocks")).cast("int").alias("pass"),
-        F.least(turn_words, F.col("taken_words") - begun).alias("words"),
+        F.least(turn_words, F.col("taken_words") - begun).alias("words"), "slot",
     )
     taken = slots.groupBy(*SOURCE, "block").agg(
-        F.max(F.when(F.col("pass") == 0, F.col("words"))).alias("words_0"), F.max(F.when(F.col("pass") == 1, F.col("words"))).alias("words_1")
+        *(F.max(F.when(F.col("pass") == k, F.col(c))).alias(f"{c}_{k}") for c in ("words", "slot") for k in (0, 1))
     )
     row = ["doc_id", *SOURCE, "size", "source_size", "target", "start", "mark"]
     pieces = placed.filter("size > 0").select(
@@ -148,39 +149,52 @@ def mix(docs: DataFrame, seed: int = 7) -> DataFrame:
     low = F.greatest(F.col("start"), F.col("block") * BLOCK) - F.col("block") * BLOCK
     high = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * BLOCK) - F.col("block") * BLOCK
 
-    def cut(words: str) -> Column:
-        return F.sum(F.greatest(F.lit(0), F.least(high, F.coalesce(words, F.lit(0))) - low))
+    def words_of(k: int) -> Column:
+        return F.greatest(F.lit(0), F.least(high, F.coalesce(f"words_{k}", F.lit(0))) - low)
 
     joined = pieces.join(taken, [*SOURCE, "block"], "left")
-    per_row = joined.groupBy(*row).agg(cut("words_0").alias("first_pass"), cut("words_1").alias("second_pass"))
-    zero = F.lit(0).cast("long")
-    empty = placed.filter("size = 0").select(*row, zero.alias("first_pass"), zero.alias("second_pass"))
+    # a source's blocks get their slots in order, so the smallest slot is that of the row's first block
+    per_row = joined.groupBy(*row).agg(
+        F.sum(words_of(0)).alias("first_pass"), F.sum(words_of(1)).alias("second_pass"),
+        F.min(F.when(words_of(0) > 0, F.col("slot_0"))).alias("first_slot"), F.min(F.when(words_of(1) > 0, F.col("slot_1"))).alias("second_slot"),
+    )
+    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
+    empty = placed.filter("size = 0").select(
+        *row, zero.alias("first_pass"), zero.alias("second_pass"), none.alias("first_slot"), none.alias("second_slot")
+    )
     return per_row.unionByName(empty).select(
         "doc_id", F.when(~F.col("no_source"), F.col("source_name")).alias("source"), "size", "source_size", "target", "start",
-        (F.col("first_pass") + F.col("second_pass")).alias("taken"), "first_pass", "second_pass", "mark",
+        (F.col("first_pass") + F.col("second_pass")).alias("taken"), "first_pass", "second_pass", "first_slot", "second_slot", "mark",
     )
 
 
 def mixed_documents(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """The mix as rows of `docs`: one for each pass that takes of a row, its text cut where the mix ends.
+    """The mix as rows of `docs`, in the order of the schedule: one for each pass that takes of a row, cut where the mix ends.
 
-    Rows that the mix takes nothing of are left out. Repeated rows each have their own part.
+    A row stands where the slot of its first block is, rows of one block by their
+    start. So each stretch of the result holds the sources in about the proportion of
+    their targets. Rows that the mix takes nothing of are left out. Repeated rows each
+    have their own part.
     """
-    same = Window.partitionBy("id_", "mark_")
+    same = Window.partitionBy("id", "mark")
     passes = mix(docs, seed).select(
-        F.coalesce("doc_id", F.lit(0)).alias("id_"), F.col("mark").alias("mark_"), "size", "first_pass", "second_pass"
-    )
-    passes = passes.withColumn("nth_", F.row_number().over(same.orderBy("first_pass", "second_pass")))
-    rows = docs.withColumns({"id_": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "mark_": mark()})
-    rows = rows.withColumn("nth_", F.row_number().over(same.orderBy("id_")))
+        F.coalesce("doc_id", F.lit(0)).alias("id"), "mark", "size", "start",
+        F.array(F.struct(F.col("first_pass").alias("words"), F.col("first_slot").alias("slot")), F.struct(F.col("second_pass").alias("words"), F.col("second_slot").alias("slot"))).alias("taken"),
+    )
+    passes = passes.withColumn("nth", F.row_number().over(same.orderBy("start")))
+    # a row travels as one value, so that none of its columns can clash with those used here
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), mark().alias("mark"), whole)
+    rows = rows.withColumn("nth", F.row_number().over(same.orderBy("id")))
     # the numbers of repeated rows are compared after the join, which so keeps the windows' partitioning
     met = rows.alias("d").join(
         passes.alias("t"),
-        (F.col("d.id_") == F.col("t.id_")) & (F.col("d.mark_") == F.col("t.mark_")) & (F.col("d.nth_") - F.col("t.nth_") == 0),
+        (F.col("d.id") == F.col("t.id")) & (F.col("d.mark") == F.col("t.mark")) & (F.col("d.nth") - F.col("t.nth") == 0),
     )
-    each = met.withColumn("words_", F.explode(F.array("t.first_pass", "t.second_pass"))).filter("words_ > 0")
+    each = met.select("row", "size", "start", F.explode("taken").alias("part")).select("row", "size", "start", "part.words", "part.slot").filter("words > 0")
+    each = each.repartitionByRange("slot", "start").sortWithinPartitions("slot", "start")
     # words with the white space before them; no pattern that Java would match by recursion
-    pieces = F.regexp_extract_all("d.text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words_").cast("int")), "")
-    text = F.when(F.col("words_") >= F.col("t.size"), F.col("d.text")).otherwise(cut)
-    return each.select(*(text.alias(c) if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))
+    pieces = F.regexp_extract_all("row.text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), F.lit(1))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    text = F.when(F.col("words") >= F.col("size"), F.col("row.text")).otherwise(cut)
+    return each.select(*(text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))

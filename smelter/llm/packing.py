@@ -21,6 +21,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from smelter.llm.common import durable, numbered, part_of
 
@@ -30,6 +31,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END = 0
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 SINGLE = re.compile(r"(?<=\S) (?=\S)")
+#: White space in the sense of the tokenizer's pattern, so many in a row that its depth matters.
+LONG_WHITE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 #: Characters that are encoded at a time.
 STRETCH = 1 << 19
 
@@ -169,10 +172,42 @@ def encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding(Path(path).stem, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache
+def tokenizer_of(path: str) -> tuple[Tokenizer, dict[str, int], re.Pattern | None]:
+    """The tokenizer itself, its added tokens, and a pattern that finds them in a text."""
+    found = Tokenizer.from_file(path)
+    added = {token.content: i for i, token in found.get_added_tokens_decoder().items()}
+    longest_first = sorted(added, key=len, reverse=True)
+    return found, added, re.compile("|".join(map(re.escape, longest_first))) if added else None
+
+
 def encode(text: str, path: str) -> bytes:
-    """A text's token ids as little-endian bytes."""
-    known = encoding(path)
-    return b"".join(known.encode_to_numpy(part).astype("<u4").tobytes() for part in stretches(text))
+    """A text's token ids as little-endian bytes; the strings of added tokens are these tokens."""
+    _, added, pattern = tokenizer_of(path)
+    out, start = [], 0
+    for found in pattern.finditer(text) if pattern else ():
+        out += ordinary(text[start : found.start()], path)
+        out.append(added[found[0]].to_bytes(4, "little"))
+        start = found.end()
+    out += ordinary(text[start:], path)
+    return b"".join(out)
+
+
+def ordinary(text: str, path: str) -> Iterator[bytes]:
+    """Token ids of a text without added tokens.
+
+    A long run of white space goes to the tokenizer itself, since the faster library's
+    pattern keeps a state for each of its characters. The pattern takes such a run for
+    one piece, but for its last character where more text follows.
+    """
+    known, start = encoding(path), 0
+    for run in LONG_WHITE.finditer(text):
+        for part in stretches(text[start : run.start()]):
+            yield known.encode_to_numpy(part).astype("<u4").tobytes()
+        start = run.end() - (run.end() < len(text))
+        yield np.array(tokenizer_of(path)[0].encode(text[run.start() : start], add_special_tokens=False).ids, "<u4").tobytes()
+    for part in stretches(text[start:]):
+        yield known.encode_to_numpy(part).astype("<u4").tobytes()
 
 
 def stretches(text: str) -> Iterator[str]:
@@ -212,8 +247,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | None = None
     """One row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A document is its text's token ids and then 0; a null text counts as empty, so
-    every document has at least one token. Strings that look like special tokens are
-    ordinary text. Only documents longer than `capacity` are cut, so that just the
+    every document has at least one token. The strings of the tokenizer's added tokens
+    are these tokens. Only documents longer than `capacity` are cut, so that just the
     first piece may be shorter. Repeated rows are packed each. Other columns are
     ignored; an empty table gives no rows. What the driver sees is how many pieces
     have each length.

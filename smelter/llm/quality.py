@@ -158,11 +158,14 @@ def judge(text: Column, forest: Forest | None = None) -> Column:
 def calibrate(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> Forest:
     """A forest from at most `most` labelled rows of `docs`, the ones with the smallest hashes of doc_id."""
     usable = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    ids = docs.filter("doc_id is not null").select("doc_id").distinct()
-    drawn = usable.join(ids, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    drawn = drawn.select(F.col("doc_id").alias("labelled_id"), "quality")
-    rows = docs.join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled_id")).dropDuplicates(["labelled_id"])
-    measured = rows.select("doc_id", "quality", judge(F.col("text").cast("string")).alias("m")).select("doc_id", "quality", "m.*")
+    # no other columns, whose names could clash
+    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter("doc_id is not null")
+    drawn = usable.join(docs.select("doc_id").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    met = docs.join(F.broadcast(drawn), "doc_id")
+    # of repeated ids with different texts always the same one
+    rows = met.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    rows = rows.select("doc_id", "quality", F.col("first.text").alias("text"))
+    measured = rows.select("doc_id", "quality", judge(F.col("text")).alias("m")).select("doc_id", "quality", "m.*")
     return fit(measured.toPandas().sort_values("doc_id", ignore_index=True))
 
 
@@ -180,5 +183,5 @@ def assess(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of `docs`, with all their columns, that `assess` keeps."""
     forest = calibrate(docs, labels)
-    judged = docs.withColumn("judged_", judge(F.col("text").cast("string"), forest))
-    return judged.filter("judged_.kept").drop("judged_")
+    judged = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), judge(F.col("text").cast("string"), forest).alias("found"))
+    return judged.filter("found.kept").select("row.*")

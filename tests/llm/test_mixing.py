@@ -109,3 +109,35 @@ def test_empty_tables(docs, table):
     assert mix(table.limit(0)).count() == 0
     assert mixed_documents(table.limit(0)).count() == 0
     assert rows(mix(docs((1, None), (2, " "))), "doc_id", "taken", "target") == [(1, 0, 0.0), (2, 0, 0.0)]
+
+
+def shares_along(mixed, step):
+    """Words of each source in stretches of the mix, as it lies in the result."""
+    out = []
+    for i, r in enumerate(mixed.collect()):
+        if i % step == 0:
+            out.append(defaultdict(int))
+        out[-1][r.source] += len(WORD.findall(r.text))
+    return out[:-1]
+
+
+def test_each_stretch_of_the_result_is_in_proportion(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    table = docs(*((i, words(8, i), "abc"[min(i % 6, 2)]) for i in range(600)))
+    targets_ = {r.source: r.target for r in mix(table).collect()}
+    whole = sum(targets_.values())
+    stretches = shares_along(mixed_documents(table), 60)
+    assert len(stretches) >= 10
+    for found in stretches:
+        for source, target in targets_.items():
+            assert abs(found[source] / sum(found.values()) - target / whole) < 0.08
+
+
+def test_the_result_follows_the_sequence(docs, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    table = docs(*((i, words(8, i), "abc"[i % 3]) for i in range(120)))
+    golden = [r.doc_id for r in mixed_documents(table).collect()]
+    assert golden == [r.doc_id for r in mixed_documents(table.repartition(5)).collect()]
+    monkeypatch.setattr(mixing, "GOLDEN", 3 << 48)
+    other = [r.doc_id for r in mixed_documents(table).collect()]
+    assert golden != other and sorted(golden) == sorted(other)

@@ -15,9 +15,7 @@ PATH = public_tokenizers.path(TOKENIZER)
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(PATH)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(PATH)
 
 
 def expected(tokenizer, text) -> np.ndarray:
@@ -31,6 +29,19 @@ def test_ids_are_the_tokenizer_s(tokenizer, monkeypatch, stretch):
         assert encode(text, PATH) == expected(tokenizer, text).tobytes()
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", " \n", "\u3000", "\x1f"])
+@pytest.mark.parametrize("text", ["{}", "a{}", "{}b", "a {}\u00e9", "x{}, {}1", "<|endoftext|>{}<|endoftext|>b"])
+def test_long_blank_runs(tokenizer, blank, text):
+    for n in (4095, 4096, 30_001):
+        whole = text.replace("{}", blank * (n // len(blank)))
+        assert encode(whole, PATH) == expected(tokenizer, whole).tobytes()
+
+
+def test_a_million_blanks_with_added_tokens(tokenizer):
+    for text in [" " * 1_000_000, "a" + "\n" * 1_000_000 + "b<|endoftext|>", ("\t " * 600_000) + "<|endoftext|><|endof" + " " * 5000]:
+        assert encode(text, PATH) == expected(tokenizer, text).tobytes()
+
+
 def exact_bins(sizes: list[int], capacity: int) -> int:
     """The fewest bins, by trying everything."""
     best = [len(sizes)]

@@ -3,9 +3,12 @@ from collections import defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
+from smelter.llm.packing import pack
+from smelter.llm.quality import assess
 from smelter.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -14,14 +17,15 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def test_every_operator_has_one_query():
     names = [q for q in __spark_entry__.queries() if re.match(r"op\d+_", q)]
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.sql(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     want = con.sql(ORACLE[name])
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)
@@ -63,3 +67,30 @@ def test_nothing_outside_imports_the_subpackage():
     root = Path(corpus_pipeline.__file__).parent
     users = [p for p in root.rglob("*.py") if "llm" not in p.relative_to(root).parts and re.search(r"smelter\.llm|corpus_pipeline", p.read_text())]
     assert {p.name for p in users} == {"__spark_entry__.py", "corpus_pipeline.py"}
+
+
+#: Every name that the modules of the stages use for a column of their own.
+NAMES = [
+    "quality", "labelled_id", "judged_", "found", "row", "first", "h", "m", "id", "mark", "nth", "words", "taken", "slot", "start", "size", "id_", "mark_", "nth_",
+    "words_", "part", "block", "source_size", "target", "first_pass", "sid", "rep_id", "node", "digest", "keep_id", "kept", "group_size", "total", "rank", "length", "piece",
+]
+
+
+@pytest.mark.parametrize("stage", [s for s in corpus_pipeline.STAGES if s[0] != "packing"], ids=lambda s: s[0])
+def test_columns_with_inner_names_come_back_unchanged(spark, stage):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    more = [F.concat(F.lit(f"{name} "), "doc_id").alias(name) for name in NAMES]
+    got = stage[1](spark, docs.select("*", *more), SF)
+    assert got.columns == [*docs.columns, *NAMES]
+    found = got.collect()
+    assert found
+    for r in found:
+        assert [r[name] for name in NAMES] == [f"{name} {r.doc_id}" for name in NAMES]
+
+
+def test_query_ignores_columns_with_inner_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    wide = docs.select("*", *(F.lit(name).alias(name) for name in NAMES))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert sorted(assess(wide, labels).collect()) == sorted(assess(docs, labels).collect())
+    assert sorted(pack(wide).drop("sequence_id", "offset").collect()) == sorted(pack(docs).drop("sequence_id", "offset").collect())
