@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
         "--incremental", action="store_true", help="take in what has arrived since the last run"
     )
     parser.add_argument("--since", type=date.fromisoformat, help="first month of facts to rebuild")
+    parser.add_argument("--cluster", action="store_true", help="sort facts by seller and customer")
     parser.add_argument("--infer", action="store_true", help="let Spark guess raw types")
     parser.add_argument("--multiline", action="store_true", help="line breaks inside review text")
     parser.add_argument("--tidy", action="store_true", help="trim and even out place names")
@@ -59,6 +60,7 @@ def main(argv: list[str] | None = None) -> None:
         gold_upsert=args.upsert,
         incremental=args.incremental,
         facts_since=args.since,
+        cluster=args.cluster,
         infer=args.infer,
         multiline=args.multiline,
         tidy=args.tidy,

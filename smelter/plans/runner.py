@@ -12,10 +12,11 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from smelter.operators.audit import audit
+from smelter.operators.clustering import cluster_key
 from smelter.operators.merge import upsert_table
 from smelter.plans import bronze, incremental
 from smelter.plans.steps import GOLD, GOLD_CHECKS, LAYERS, MARTS, SILVER, SILVER_CHECKS
-from smelter.schemas import APPEND_PARTITIONS, FACT_TIMES, PARTITIONS, RAW_TABLES
+from smelter.schemas import APPEND_PARTITIONS, CLUSTERS, FACT_TIMES, PARTITIONS, RAW_TABLES
 from smelter.sinks.jdbc import export_table
 from smelter.session import shuffle_partitions
 from smelter.sinks.buckets import recover_buckets
@@ -61,6 +62,8 @@ class Options:
                    (needs bronze_append and gold_upsert)
     facts_since    rebuild only the facts of this month and later, and those without
                    a time (needs gold_upsert)
+    cluster        sort the facts of a month so that filters on seller, customer or order
+                   skip row groups
     infer, multiline, tidy   see read_csv and the silver place names
     workers        tables of one layer built at the same time
     strict         raise after a layer in which a table failed
@@ -71,6 +74,7 @@ class Options:
     gold_upsert: bool = False
     incremental: bool = False
     facts_since: date | None = None
+    cluster: bool = False
     infer: bool = False
     multiline: bool = False
     tidy: bool = False
@@ -173,10 +177,14 @@ def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) ->
 
     if layout:
         (column,) = layout
+        order = None
+        if options.cluster:
+            sources = dict(zip(step.inputs, inputs))
+            order = cluster_key({c: sources[source] for c, source in CLUSTERS[table].items()})
         if not (update and options.facts_since):
             # all rows are built anew, so all months are replaced
             df = _with_layout(step.build(*inputs), layout)
-            return replace_table(spark, df, path, partition_by=(column,))
+            return replace_table(spark, df, path, partition_by=(column,), order=order)
         # Months are replaced as a whole: an upsert that neither joins nor
         # rewrites the months that stay as they are.
         source, time = FACT_TIMES[table]
@@ -184,7 +192,7 @@ def store_gold(spark: SparkSession, lake: Lake, table: str, options: Options) ->
         at = step.inputs.index(source)
         inputs[at] = inputs[at].filter((F.col(time) >= F.lit(first)) | F.col(time).isNull())
         df = _with_layout(step.build(*inputs), layout)
-        return replace_months(spark, df, path, column, first.year * 100 + first.month)
+        return replace_months(spark, df, path, column, first.year * 100 + first.month, order)
     incremental.forget(spark, lake, table)
     if update:
         return upsert_table(spark, path, step.build(*inputs), step.key)

@@ -157,6 +157,13 @@ APPEND_PARTITIONS = {"_ingest_date": "to_date(_extracted_at)"}
 # file of a row without a whole key.
 BUCKET, FILE = "_bucket", "_file"
 
+# Columns by which the rows of a month lie in clusters, if that is asked for: column -> table and
+# column that its ranges are taken from.
+CLUSTERS = {
+    "fct_sales": {"seller_id": "stg_order_items", "customer_id": "stg_orders"},
+    "fct_order_reviews": {"order_id": "stg_order_reviews", "customer_id": "stg_orders"},
+}
+
 # Input and time column that decide about the month of a fact.
 FACT_TIMES = {
     "fct_sales": ("stg_orders", "order_purchase_at"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from smelter.sources import lake
 
@@ -16,6 +16,7 @@ def write_table(
     partition_by: Sequence[str] = (),
     dynamic: bool = False,
     rebalance: bool = True,
+    order: Column | None = None,
 ) -> int:
     """Write `df` and return its row count, counted while writing.
 
@@ -23,9 +24,13 @@ def write_table(
     table is first rebalanced on its partition columns: each folder gets few,
     evenly sized files, and a folder with much of the data is split over
     several tasks; `rebalance` off saves that shuffle where all rows belong to
-    one folder anyway. `dynamic` replaces only the folders present in `df`.
+    one folder anyway. `dynamic` replaces only the folders present in `df`. With
+    `order` the rows of each folder are sorted by it, over all of the folder's files:
+    tasks get ranges of it, so a folder with much of the data is split here too.
     """
-    if partition_by and rebalance:
+    if order is not None:
+        df = df.repartitionByRange(*partition_by, order).sortWithinPartitions(*partition_by, order)
+    elif partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
     written = Observation()
     counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
@@ -37,7 +42,12 @@ def write_table(
 
 
 def replace_months(
-    spark: SparkSession, df: DataFrame, path: str, column: str, first: int
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    column: str,
+    first: int,
+    order: Column | None = None,
 ) -> int:
     """Replace the months from `first` on, and the rows without a month, by `df`.
 
@@ -45,7 +55,7 @@ def replace_months(
     those whose files are still the same.
     """
     before = lake.folders(spark, path)
-    rows = write_table(df, path, partition_by=(column,), dynamic=True)
+    rows = write_table(df, path, partition_by=(column,), dynamic=True, order=order)
     for name, files in lake.folders(spark, path).items():
         month = name.partition("=")[2]
         in_range = not month.isdigit() or int(month) >= first
@@ -60,6 +70,7 @@ def replace_table(
     path: str,
     partition_by: Sequence[str] = (),
     finish: Callable[[str], None] | None = None,
+    order: Column | None = None,
 ) -> int:
     """Replace a table that `df` may itself be reading.
 
@@ -70,7 +81,7 @@ def replace_table(
     """
     staging, previous = f"{path}__new", f"{path}__old"
     recover(spark, path)
-    rows = write_table(df, staging, partition_by=partition_by)
+    rows = write_table(df, staging, partition_by=partition_by, order=order)
     if finish:
         finish(staging)
     if lake.exists(spark, path):
