@@ -45,6 +45,12 @@ FAMILIES = [
     ("bsd-", "bsd", True), ("0bsd", "bsd", True), ("isc", "isc", True), ("mpl-", "mpl", False), ("epl-", "epl", False), ("bsl-", "bsl", True), ("cc0-", "cc0", True),
     ("cc-by-nc-", "cc-by-nc", False), ("cc-by-sa-", "cc-by-sa", False), ("cc-by-nd-", "cc-by-nd", False), ("cc-by-", "cc-by", True), ("unlicense", "unlicense", True), ("zlib", "zlib", True),
 ]
+#: Beginnings of other identifiers, which are their own label, and names of exceptions that don't say so.
+OTHERS = (
+    "afl-", "apsl-", "artistic-", "blueoak-", "bzip2-", "cddl-", "cecill-", "cpl-", "curl", "ecl-", "eupl-", "fsfap", "ftl", "hpnd", "ijg", "ipl-", "json", "libpng", "licenseref-", "lppl-",
+    "ms-pl", "ms-rl", "mulanpsl-", "ncsa", "odbl-", "odc-by-", "ofl-", "openssl", "osl-", "pddl-", "php-", "postgresql", "psf-", "python-", "ruby", "sspl-", "tcl", "unicode-", "upl-", "vim", "w3c", "wtfpl", "x11", "zpl-",
+)
+NOTES = ("linux-syscall-note",)
 
 LETTERS = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32
@@ -64,11 +70,21 @@ class Terms:
     permissive: bool
 
 
-def licence(name: str) -> Terms:
+def begins(name: str, start: str) -> bool:
+    return name.startswith(start) and (start.endswith("-") or name[len(start) :][:1] in ("", "-"))
+
+
+def licence(name: str) -> Terms | None:
+    """What a known identifier stands for; None for any other word."""
     for start, label, permissive in FAMILIES:
-        if name == start or name.startswith(start):
+        if begins(name, start):
             return Terms(frozenset([label]), permissive)
-    return Terms(frozenset([name]), False)
+    return Terms(frozenset([name]), False) if any(begins(name, start) for start in OTHERS) else None
+
+
+def exception(name: str) -> Terms | None:
+    """What may stand behind `with`."""
+    return Terms(frozenset(), True) if "exception" in name or name in NOTES else None
 
 
 def apply(operator: str, left: Terms, right: Terms) -> Terms:
@@ -83,7 +99,9 @@ def evaluate(text: str) -> Terms | None:
     """The longest licence expression that `text`, in lower case, begins with; None if there is none.
 
     Dijkstra's shunting yard: operands go to one stack, operators wait on another until
-    one comes that binds less. Reading ends at the first symbol that can't continue.
+    one comes that binds less. Reading ends at the first symbol that can't continue,
+    such as a word that is no known identifier. A bracket that is never closed, and an
+    operator without a right side, are left out.
     """
     values: list[Terms] = []
     waiting: list[str] = []
@@ -98,7 +116,10 @@ def evaluate(text: str) -> Terms | None:
         if operand and symbol == "(":
             waiting.append(symbol)
         elif operand and symbol != ")" and symbol not in BINDING:
-            values.append(licence(symbol))
+            named = (exception if waiting and waiting[-1] == "with" else licence)(symbol)
+            if named is None:
+                break
+            values.append(named)
             operand = False
         elif not operand and symbol in BINDING:
             settle(BINDING[symbol])
@@ -109,10 +130,10 @@ def evaluate(text: str) -> Terms | None:
             waiting.pop()
         else:
             break
-    if operand and waiting and waiting[-1] in BINDING and values:
-        waiting.pop()  # an operator without a right side is text
-    if not values or (operand and waiting and waiting[-1] == "("):
+    if not values:
         return None
+    while operand and waiting and waiting.pop() == "(":
+        pass  # up to and with the operator that has no right side
     while waiting:
         settle(0)
         if waiting:
@@ -136,11 +157,15 @@ def scan(texts: Iterable[str | None]) -> pd.DataFrame:
         line = f" {b' '.join(words).decode()} "
         base: list[int] = []
         base_labels, labels, permissive = set(), set(), None
-        notes = 0
+        notes = spaces = at = 0
         tagged = False
         for end, (phrase, label) in notices.iter(line):
             if phrase in BASE:
-                base.append(line.count(" ", 0, end - len(phrase) - 1))
+                # counted on from the last place; back at most by the length of a phrase
+                start = end - len(phrase) - 1
+                spaces += line.count(" ", at, start) if start >= at else -line.count(" ", start, at)
+                at = start
+                base.append(spaces)
                 base_labels.add(label)
             elif phrase == TAG:
                 tagged = True

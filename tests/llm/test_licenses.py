@@ -1,4 +1,5 @@
 import re
+import time
 
 import pandas as pd
 from hypothesis import given, settings
@@ -58,6 +59,23 @@ def test_expressions():
     assert read("MIT OR") == read("(MIT") == read("MIT)") == (["mit"], True)
     assert read("") is None and read("OR MIT") is None and read("((") is None
     assert read("((MIT))") == (["mit"], True)
+    assert read("MIT AND (") == read("MIT AND ((") == read("(MIT OR (") == (["mit"], True)
+    assert read("MIT OR GPL-2.0 AND (") == (["gpl", "mit"], True)
+    # only known identifiers count
+    assert read("see the file COPYING") is None and read("mitigation") is None
+    assert read("MIT and also") == read("MIT") and read("GPL-2.0 WITH care") == (["gpl"], False)
+    assert read("GPL-2.0 WITH Linux-syscall-note") == (["gpl"], True)
+    assert read("LicenseRef-Acme OR Artistic-2.0") == (["artistic-2.0", "licenseref-acme"], False)
+
+
+def test_time_grows_with_the_text():
+    def seconds(n):
+        text, begun = "The MIT license, GNU General Public License. " * n, time.perf_counter()
+        assert scan([text]).iloc[0]["n_base"] == 2 * n
+        return time.perf_counter() - begun
+
+    seconds(100)
+    assert seconds(80_000) < 5 * seconds(20_000) + 1
 
 
 def test_a_table(docs, odd_docs):
