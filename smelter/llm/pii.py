@@ -14,32 +14,34 @@ ROUNDS = 8
 #: Dates are permuted within these years, 1900 to 2099: FIRST_DAY and DAYS days, which are 229 * 319.
 FIRST_DAY, DAYS, DAY_SIDES = "1900-01-01", 73049, (229, 319)
 # How private values are written. The order decides what a text is taken for.
-SECRET = r"\bAKIA[A-Z0-9]{16,20}\b|(?i:\b(?:token|password|passwd|secret|api[_-]?key)\s*[=:]\s*[\"']?)[A-Za-z0-9_\-]{8,}"
+# A look at the first character goes before everything that costs more.
+SECRET = r"(?=A)\bAKIA[A-Z0-9]{16,20}\b|(?=[TtPpSsAa])(?i:\b(?:token|password|passwd|secret|api[_-]?key)\s*[=:]\s*[\"']?)[A-Za-z0-9_\-]{8,}"
 EMAIL = r"[A-Za-z0-9][\w.%+\-]{0,63}@(?:[A-Za-z0-9][A-Za-z0-9\-]{0,62}\.){1,30}[A-Za-z]{2,63}"
 YEAR, MONTH_NO, DAY_NO = r"(?:19|20)\d\d", r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
 MONTH = r"(?i:Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?)"
 ORDINAL = r"(?i:st|nd|rd|th)?"
-DATE = "|".join(
+NUMERIC_DATE = "|".join(
     [rf"(?<![\d.\-]){YEAR}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\d\-])"]
     + [rf"(?<![\d./]){YEAR}{s}(?:0[1-9]|1[0-2]){s}(?:0[1-9]|[12]\d|3[01])(?!\d|{s}\d)" for s in ("/", r"\.")]
     + [rf"(?<!\d|\d[./\-])(?:{MONTH_NO}{s}{DAY_NO}|{DAY_NO}{s}{MONTH_NO}){s}{YEAR}(?!\d|{s}\d)" for s in ("/", r"\.", "-")]
-    + [rf"\b{MONTH}\.? {DAY_NO}{ORDINAL},? {YEAR}(?!\d)", rf"(?<!\d|\d[./\-]){DAY_NO}{ORDINAL} {MONTH}\.?,? {YEAR}(?!\d)"]
+    + [rf"(?<!\d|\d[./\-]){DAY_NO}{ORDINAL} {MONTH}\.?,? {YEAR}(?!\d)"]
 )
-IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
+DATE = rf"(?=\d)(?:{NUMERIC_DATE})|(?=[JFMASONDjfmasond])\b{MONTH}\.? {DAY_NO}{ORDINAL},? {YEAR}(?!\d)"
+IP = r"(?=\d)(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d.]?\d)"
 PHONE = "|".join(
     [
-        r"(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}(?!\d)",
-        r"(?<!\d|\d[.\-])(?:1[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d|[.\-]\d)",
-        r"(?<!\d|\d[.\-])(?:1[ .\-])?\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d|[.\-]\d)",
-        r"(?<!\d|\d[ .\-])(?:1[ .\-])?[2-9]\d\d \d{3}[ \-]\d{4}(?!\d|[ .\-]\d)",
+        r"(?=\+)(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)[ .\-]?)?\d{1,4}(?:[ .\-]?\d{2,4}){1,5}(?!\d)",
+        r"(?=[1(])(?<!\d|\d[.\-])(?:1[ .\-]?)?\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}(?!\d|[.\-]\d)",
+        r"(?=\d)(?<!\d|\d[.\-])(?:1[ .\-])?\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d|[.\-]\d)",
+        r"(?=\d)(?<!\d|\d[ .\-])(?:1[ .\-])?[2-9]\d\d \d{3}[ \-]\d{4}(?!\d|[ .\-]\d)",
     ]
 )
 #: The country code of a number: with what parts it from the rest, or by the list of such codes.
 COUNTRY = r"^\+\d{1,3}[ .\-](?=[\d(])|^\+\d{1,3}(?=\()|^\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})|^1[ .\-]?(?=\(|\d{3}[ .\-])|^"
-SSN = r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
+SSN = r"(?=\d)(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])"
 #: Groups of digits in which a card number may lie; possessive, as a run can be long.
-RUN = r"(?<![\d.])\d(?:[ \-]?\d){12,}+"
+RUN = r"(?=\d)(?<![\d.])\d(?:[ \-]?\d){12,}+"
 #: The groups of a card number, and how many they are: sixteen digits first, one group, then other ways of writing.
 SHAPES = [(4, r"(?:\d{4}[ \-]){3}\d{4}"), (1, r"\d{13,19}"), (3, r"\d{4}[ \-]\d{6}[ \-]\d{4,5}"), (2, r"\d{8}[ \-]\d{8}"), (5, r"(?:\d{4}[ \-]){4}\d{1,3}"), (3, r"\d{6}[ \-]\d{8,13}"), (4, r"\d{4}(?:[ \-]\d{3}){3}")]
 # Characters that stand for none (Unicode) mark where values and cards begin and end; in a text they are written as two others.
@@ -47,6 +49,8 @@ OPEN, CLOSE, FIRST, LAST, ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3", "\ufd
 ESCAPED = [(ESCAPE, ESCAPE + "\ufdd5"), (OPEN, ESCAPE + "\ufdd6"), (CLOSE, ESCAPE + "\ufdd7"), (FIRST, ESCAPE + "\ufdd8"), (LAST, ESCAPE + "\ufdd9")]
 CARD = f"{FIRST}[^{LAST}]*+{LAST}"
 PRIVATE = "|".join([CARD, SECRET, EMAIL, DATE, IP, PHONE, SSN])
+#: What a text without a commercial at can hold.
+NO_MAIL = "|".join([CARD, SECRET, DATE, IP, PHONE, SSN])
 
 
 def keyed(key: str, round_: Column, tag: Column, half: Column) -> Column:
@@ -270,9 +274,15 @@ def pseudonymise(docs: DataFrame, key: str = "corpus") -> DataFrame:
     # most texts have nothing to replace; only the others are taken apart
     odd = text.rlike(f"[{OPEN}{CLOSE}{FIRST}{LAST}{ESCAPE}]")
     plain = docs.select("doc_id", text.alias("text"), F.when(odd, replaced(text, ESCAPED)).otherwise(text).alias("plain"), odd.alias("odd"))
+    # all kinds but secrets have a digit or a commercial at, and secrets have a sign or these letters
+    digits, mail = F.col("plain").rlike("[0-9]"), F.col("plain").contains("@")
+    hint = digits | mail | F.col("plain").rlike("[=:]") | F.col("plain").contains("AKIA")
     runs = F.array_join(F.transform(cut(F.col("plain"), RUN), lambda p, i: F.when(i % 2 == 1, cards_marked(p)).otherwise(p)), "")
-    with_cards = plain.withColumn("marked", F.when(F.col("plain").rlike(RUN), runs).otherwise(F.col("plain")))
-    pieces = with_cards.withColumn("pieces", F.when(F.col("marked").rlike(PRIVATE), cut(F.col("marked"), PRIVATE)))
+    with_cards = plain.withColumn("marked", F.when(digits & F.col("plain").rlike(RUN), runs).otherwise(F.col("plain")))
+    marked = F.col("marked")
+    held = F.when(~hint, F.lit(False)).when(mail, marked.rlike(PRIVATE)).when(digits, marked.rlike(NO_MAIL)).otherwise(marked.rlike(SECRET))
+    parts = F.when(mail, cut(marked, PRIVATE)).otherwise(cut(marked, NO_MAIL))
+    pieces = with_cards.withColumn("pieces", F.when(held, parts))
     bare = lambda v: F.translate(v, FIRST + LAST, "")
     known = F.transform("pieces", lambda p, i: F.struct(bare(p).alias("value"), F.when(i % 2 == 1, kind_of(p)).alias("kind")))
     told = pieces.withColumn("known", known)

@@ -149,3 +149,10 @@ def test_the_match_itself_is_replaced(docs):
         first, last = text.split()[0 if text[0] != "i" else 1], text.split()[-1]
         assert r.n_private == 1 and first in r.text and r.text.endswith(" " + r.pseudonyms[0]) and r.pseudonyms[0] != last
     assert got[3].text == f"{marks}{got[3].pseudonyms[0]}{marks}" and got[4].text == marks
+
+
+def test_texts_with_one_kind_of_hint(docs):
+    """A text is searched only for what its characters allow; each kind is found where nothing else stands."""
+    given = ["write to first.last@mail.example", "token=abcdefghijk", "AKIA" + "B" * 16, "PassWord : abcdefghijk", "born on 2001-02-03", "May 5, 2020", "host 10.20.30.40", "call (555) 123-4567", "+44 20 7946 0958"]
+    got = one(docs, *given, "at 5 o'clock @ home = nothing", "AKIA", "a:b")
+    assert [r.kinds for r in got] == [["email"], ["secret"], ["secret"], ["secret"], ["date"], ["date"], ["ip"], ["phone"], ["phone"], [], [], []]
