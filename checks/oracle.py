@@ -423,6 +423,29 @@ TABLES["audit_silver"] = _audit(SILVER_KEYS)
 TABLES["audit_gold"] = _audit(GOLD_KEYS)
 
 
+def _audit_months(table: str, date: str, month: str) -> str:
+    key, parents = GOLD_KEYS[table]
+    null = " or ".join(f"{c} is null" for c in key.split(", "))
+    flags = [f"cast({date} // 100 as bigint) as {month}", f"({null}) as no_key", f"row({key}) as whole_key"]
+    measures = {
+        "total_rows": "count(*)",
+        "null_keys": "count(*) filter (where no_key)",
+        "duplicate_keys": "count(*) filter (where not no_key) - count(distinct whole_key) filter (where not no_key)",
+    }
+    for column, parent in parents.items():
+        known = f"(select {column} from {parent} where {column} is not null)"
+        flags.append(f"({column} is not null and {column} not in {known}) as orphan_{column}")
+        measures[f"orphan_{column}"] = f"count(*) filter (where orphan_{column})"
+    return "\n        union all ".join(
+        f"select {month}, '{m}' as measure, {q} as row_count from (select {', '.join(flags)} from {table}) group by {month}"
+        for m, q in measures.items()
+    )
+
+
+TABLES["audit_months_fct_sales"] = _audit_months("fct_sales", "date_key", "order_month")
+TABLES["audit_months_fct_order_reviews"] = _audit_months("fct_order_reviews", "review_date_key", "review_month")
+
+
 _LINE_MONEY = ("price", "freight_value", "line_total")
 
 # Decimal and whole-number columns that are compared as doubles.

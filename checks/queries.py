@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from checks.adapters import RAW_INPUTS, RAW_VIEWS, TEST_TABLES
 from smelter.functions import columns as C
-from smelter.operators.audit import audit
+from smelter.operators.audit import audit, audit_counts, key_counts
 from smelter.operators.incremental import arrived, merged, newest_rows, rebuilt
 from smelter.operators.merge import latest_per_file, latest_per_key, replace_from, upsert
 from smelter.plans import gold
@@ -314,6 +314,20 @@ def audit_query(checks) -> Query:
     return run
 
 
+def audit_months_query(fact: str) -> Query:
+    """The audit of a fact month by month, as from its monthly key counts."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        check = GOLD_CHECKS[fact]
+        (month,) = PARTITIONS[fact]
+        raw = partial(raw_table, spark, sf_dir)
+        counted = key_counts(with_month(derive(fact, raw), fact), check, month)
+        parents = {parent: derive(parent, raw) for _, parent in check.parents}
+        return comparable(audit_counts(counted, check, parents, month))
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
     **{f"bronze_{name.removeprefix('raw_')}": bronze_query(name) for name in RAW_TABLES},
     **{name: table_query(name) for name in STEPS},
@@ -331,4 +345,6 @@ QUERIES: dict[str, Query] = {
     **{f"merged_{name}": merged_query(name) for name in MERGED},
     "audit_silver": audit_query(SILVER_CHECKS),
     "audit_gold": audit_query(GOLD_CHECKS),
+    "audit_months_fct_sales": audit_months_query("fct_sales"),
+    "audit_months_fct_order_reviews": audit_months_query("fct_order_reviews"),
 }

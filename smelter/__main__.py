@@ -101,7 +101,7 @@ def main(argv: list[str] | None = None) -> None:
         failed += summary.filter("status = 'failed'").count()
     tables(spark, lake).groupBy("layer").count().show()
     if not args.layer:
-        audit_lake(spark, lake).show(200, truncate=False)
+        audit_lake(spark, lake, args.summaries).show(200, truncate=False)
     if failed:
         raise SystemExit(f"{failed} tables failed")
 

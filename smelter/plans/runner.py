@@ -16,6 +16,7 @@ from smelter.operators.clustering import cluster_key
 from smelter.operators.merge import upsert_table
 from smelter.plans import bronze, incremental
 from smelter.plans.steps import GOLD, GOLD_CHECKS, LAYERS, MARTS, SILVER, SILVER_CHECKS
+from smelter.plans.summaries import KEY_COUNTS, stored_key_counts, update_summary
 from smelter.schemas import APPEND_PARTITIONS, CLUSTERS, FACT_TIMES, PARTITIONS, RAW_TABLES
 from smelter.sinks.jdbc import export_table
 from smelter.session import shuffle_partitions
@@ -298,9 +299,18 @@ def export_raw(
     return _attempt_all(spark, schema, tables, work)
 
 
-def audit_lake(spark: SparkSession, lake: Lake) -> DataFrame:
-    """Rows, null keys, duplicate keys and orphan keys of silver and gold."""
-    return audit(SILVER_CHECKS | GOLD_CHECKS, lambda table: lake.read(spark, table))
+def audit_lake(spark: SparkSession, lake: Lake, stored: bool = False) -> DataFrame:
+    """Rows, null keys, duplicate keys and orphan keys of silver and gold.
+
+    With `stored` the facts are audited by their monthly key counts, brought up to date
+    first: only the facts of changed months are read.
+    """
+    counts = {}
+    if stored:
+        for name in KEY_COUNTS.values():
+            update_summary(spark, lake, name)
+        counts = stored_key_counts(spark, lake)
+    return audit(SILVER_CHECKS | GOLD_CHECKS, lambda table: lake.read(spark, table), counts)
 
 
 def mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:

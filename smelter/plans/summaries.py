@@ -4,7 +4,8 @@ A summary has a few rows for each month, stored in a folder of its own. Only mon
 whose fact files have changed are summed up again; a mart reads no lines at all. An order
 belongs to one month, so its monthly distinct counts add up exactly. People come back in
 other months: their ids are stored once a month, and next to them sketches, which answer
-at once within a known error.
+at once within a known error. Keys and references are counted by month too, so that an
+audit reads the facts of changed months only.
 """
 
 from __future__ import annotations
@@ -16,8 +17,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from smelter.functions import columns as C
+from smelter.operators.audit import audit_counts, key_counts
 from smelter.operators.ranking import add_ranks
 from smelter.plans.marts import REVENUE
+from smelter.plans.steps import GOLD_CHECKS
 from smelter.schemas import PARTITIONS
 from smelter.sinks.buckets import NO_ROWS, recover_buckets, replace_folders
 from smelter.sources.lake import Lake, exists, folders, read_text, remove, write_text
@@ -101,6 +104,14 @@ def sentiments(reviews: DataFrame) -> DataFrame:
     )
 
 
+def sales_keys(sales: DataFrame) -> DataFrame:
+    return key_counts(sales, GOLD_CHECKS["fct_sales"], "order_month")
+
+
+def review_keys(reviews: DataFrame) -> DataFrame:
+    return key_counts(reviews, GOLD_CHECKS["fct_order_reviews"], "review_month")
+
+
 SUMMARIES = {
     "sum_categories": Summary("fct_sales", categories),
     "sum_states": Summary("fct_sales", states),
@@ -109,7 +120,11 @@ SUMMARIES = {
     "sum_buyers": Summary("fct_sales", buyers),
     "sum_buyer_sketches": Summary("fct_sales", buyer_sketches, ("dim_customers",)),
     "sum_sentiments": Summary("fct_order_reviews", sentiments),
+    "sum_sales_keys": Summary("fct_sales", sales_keys),
+    "sum_review_keys": Summary("fct_order_reviews", review_keys),
 }
+#: Where the key counts of a fact are kept.
+KEY_COUNTS = {"fct_sales": "sum_sales_keys", "fct_order_reviews": "sum_review_keys"}
 
 
 # --- marts from summaries -------------------------------------------------------------
@@ -285,3 +300,29 @@ def merged_mart(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     """A mart from stored summaries and dimensions."""
     build, inputs = MERGED[name]
     return build(*(read_summary(spark, lake, t) if t in SUMMARIES else lake.read(spark, t) for t in inputs))
+
+
+# --- audit from stored counts ---------------------------------------------------------
+
+
+def stored_key_counts(spark: SparkSession, lake: Lake) -> dict[str, DataFrame]:
+    """The key counts of each fact, added up over the months: a key in two months is a duplicate too."""
+    stored = {fact: read_summary(spark, lake, name) for fact, name in KEY_COUNTS.items()}
+    return {fact: c.groupBy("use", "value").agg(F.sum("n").alias("n")) for fact, c in stored.items()}
+
+
+def audit_months(
+    spark: SparkSession, lake: Lake, fact: str, months: Collection[str] | None = None
+) -> DataFrame:
+    """The audit of a fact month by month: (month column, measure, row_count).
+
+    With `months` the counts of other months aren't read. Duplicates are those within a
+    month, so they add up to fewer than the audit of the fact where a key is in two months.
+    """
+    check, name = GOLD_CHECKS[fact], KEY_COUNTS[fact]
+    column = SUMMARIES[name].month
+    counted = read_summary(spark, lake, name)
+    if months is not None:
+        counted = of_months(counted, column, months)
+    parents = {parent: lake.read(spark, parent) for _, parent in check.parents}
+    return audit_counts(counted, check, parents, column)

@@ -9,17 +9,21 @@ from pyspark.sql import functions as F
 
 import smelter.__main__ as cli
 from checks.queries import raw_table
+from smelter.operators.audit import audit
 from smelter.plans import summaries
 from smelter.plans.runner import mart
-from smelter.plans.steps import derive
+from smelter.plans.steps import GOLD_CHECKS, derive
 from smelter.plans.summaries import (
+    KEY_COUNTS,
     MERGED,
     SUMMARIES,
     UNDATED,
+    audit_months,
     changed_months,
     merged_mart,
     people_estimate,
     read_summary,
+    stored_key_counts,
     update_summaries,
     update_summary,
     with_month,
@@ -116,6 +120,52 @@ def test_an_update_that_dies_is_done_again(spark, lake, monkeypatch):
     assert bag(merged_mart(spark, lake, "mart_sales_category")) == bag(mart(spark, lake, "mart_sales_category"))
 
 
+def test_audit_reads_changed_months_and_equals_the_full_one(spark, lake, monkeypatch):
+    checks = {fact: GOLD_CHECKS[fact] for fact in KEY_COUNTS}
+    products = derive("dim_products", lambda raw: raw_table(spark, SF, raw))
+    products.orderBy("product_id").limit(20).write.parquet(lake.path("dim_products"))
+
+    def both():
+        for name in KEY_COUNTS.values():
+            update_summary(spark, lake, name)
+        read = lambda table: lake.read(spark, table)
+        stored = bag(audit(checks, read, stored_key_counts(spark, lake)))
+        assert stored == bag(audit(checks, read))
+        return {(table, measure): int(n) for measure, n, table in stored}
+
+    first = both()
+    assert first["fct_sales", "orphan_product_id"] > 0
+    # lines of one month come again in another one, without a key, and for a product that nobody knows
+    sales = spark.read.parquet(lake.path("fct_sales"))
+    some = sales.filter("order_month = 199805").drop("order_month").limit(5)
+    more = some.unionByName(some.limit(1).withColumns({"order_line_id": F.lit(None).cast("string"), "product_id": F.lit("none")}))
+    path = f"{lake.path('fct_sales')}/order_month=199806"
+    more.write.mode("append").parquet(path)
+    read = []
+    build = summaries.SUMMARIES["sum_sales_keys"].build
+
+    def watched(sales):
+        read.extend(r[0] for r in sales.select("_metadata.file_path").distinct().collect())
+        return build(sales)
+
+    with monkeypatch.context() as patch:
+        patch.setitem(summaries.SUMMARIES, "sum_sales_keys", summaries.Summary("fct_sales", watched))
+        second = both()
+    assert read and all("order_month=199806" in f for f in read)
+    grown = {m: second["fct_sales", m] - first["fct_sales", m] for t, m in first if t == "fct_sales"}
+    assert (grown["total_rows"], grown["duplicate_keys"], grown["null_keys"]) == (6, 5, 1) and grown["orphan_product_id"] >= 1
+    # one month: its counts only, and of its own duplicates
+    one = audit_months(spark, lake, "fct_sales", ["199806"])
+    assert re.search(r"PartitionFilters: \[[^]]*order_month", one._jdf.queryExecution().toString())
+    got = {r.measure: r.row_count for r in one.collect()}
+    stored = spark.read.parquet(lake.path("fct_sales")).filter("order_month = 199806")
+    n, distinct = stored.count(), stored.filter("order_line_id is not null").select("order_line_id").distinct().count()
+    assert (got["total_rows"], got["null_keys"], got["duplicate_keys"]) == (n, 1, n - 1 - distinct)
+    assert {r.order_month for r in audit_months(spark, lake, "fct_sales", [UNDATED]).collect()} == {None}
+    totals = audit_months(spark, lake, "fct_sales").filter("measure = 'total_rows'")
+    assert totals.agg(F.sum("row_count")).first()[0] == second["fct_sales", "total_rows"]
+
+
 def test_sketches_merge_without_reading_lines(spark, lake, made):
     update_summary(spark, lake, "sum_buyer_sketches")
     update_summary(spark, lake, "sum_buyers")
