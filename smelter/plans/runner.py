@@ -23,6 +23,7 @@ from smelter.session import shuffle_partitions
 from smelter.sinks.buckets import recover_buckets
 from smelter.sinks.parquet import replace_months, replace_table, write_table
 from smelter.sources.csv import SOURCE_PATH, UNPARSED, raw_location
+from smelter.sources.drift import conformed
 from smelter.sources.lake import Lake, exists, size
 
 SUMMARY = "layer string, table string, rows long, status string, error string, unparsed long"
@@ -131,12 +132,13 @@ def store_bronze(
         failures = Observation()
         df = df.observe(failures, F.count(UNPARSED).alias("unparsed"))
     if options.bronze_append:
-        dated = _with_layout(df, APPEND_PARTITIONS)  # all rows of a run share one folder
+        dated = _with_layout(conformed(spark, lake, table, df), APPEND_PARTITIONS)  # all rows of a run share one folder
         rows = write_table(
             dated, lake.path(table), "append", tuple(APPEND_PARTITIONS), rebalance=False
         )
     else:
         rows = replace_table(spark, df, lake.path(table))
+        lake.forget_schema(spark, table)
         lake.forget_stream(spark, table)
         incremental.forget(spark, lake, table)
     return rows if failures is None else Written(rows, int(failures.get["unparsed"]))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from smelter.schemas import APPEND_PARTITIONS, BUCKET, FILE, PARTITIONS
 
@@ -48,11 +50,18 @@ class Lake:
         """A folder for each run that has changed the table."""
         return f"{self.layer_path('_changes')}/{table}"
 
+    def schema_path(self, table: str) -> str:
+        """The versions of the schema that appended extracts share, numbered from 1."""
+        return f"{self.layer_path('_schemas')}/{table}"
+
     def parts(self, spark: SparkSession, table: str) -> list[str]:
         """The folders that hold the table: that of the runs, and that of the stream."""
         found = [p for p in (self.path(table), self.stream_path(table)) if exists(spark, p)]
         return found or [self.path(table)]
 
+    def forget_schema(self, spark: SparkSession, table: str) -> None:
+        remove(spark, self.schema_path(table))
+
     def forget_stream(self, spark: SparkSession, table: str) -> None:
         """Remove what the stream has taken in, and its memory of it."""
         remove(spark, self.stream_path(table))
@@ -61,13 +70,26 @@ class Lake:
     def read(self, spark: SparkSession, table: str, layout: bool = False) -> DataFrame:
         """The table; with `layout` also the columns its folders are named after,
         so that a filter on them skips folders."""
-        whole = [spark.read.parquet(path) for path in self.parts(spark, table)]
+        shared = self._schema(spark, table)
+        whole = [
+            (spark.read.schema(shared) if shared and path == self.path(table) else spark.read).parquet(path)
+            for path in self.parts(spark, table)
+        ]
         stored = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), whole)
         if layout:
             return stored
         return stored.drop(*APPEND_PARTITIONS, *PARTITIONS.get(table, {}), BUCKET, FILE)
 
 
+    def _schema(self, spark: SparkSession, table: str) -> StructType | None:
+        """The newest schema of a table that extracts are appended to."""
+        path = self.schema_path(table)
+        newest = max((int(n) for n in names(spark, path) if n.isdigit()), default=None)
+        if newest is None:
+            return None
+        return StructType.fromJson(json.loads(read_text(spark, f"{path}/{newest}")))
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath, jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
