@@ -10,6 +10,7 @@ which two similar sets differ can't spoil all its pairs (Wang et al. 2016).
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.bucket_join import BucketJoin, hamming
+from smelter.llm.bucket_join import BucketJoin, bits_of, hamming, has_bit
 from smelter.llm.common import Scratch, durable, sent_whole_if_small
 from smelter.llm.components import components
 from smelter.llm.words import LOWER, blocks, mix, shingles_of, word_hashes
@@ -121,9 +122,7 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
                         needed = allowed_missing(n, num, den) + 1
                         heads = elements[: needed + needed // 4]
                     else:
-                        at = elements >> np.uint64(64 - FREQUENT_BITS)
-                        bits = frequent[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
-                        heads = signatures(elements, (bits & 1).astype(bool), num, den)
+                        heads = signatures(elements, has_bit(elements, frequent, FREQUENT_BITS), num, den)
                 odd = np.bincount((elements % np.uint64(64 * LONGS)).astype(np.int64), minlength=64 * LONGS) & 1
                 bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
                 for column, value in zip(columns[1:], (n, sid, bits, None if heads is None else heads.view(np.int64))):
@@ -133,30 +132,32 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
     return index
 
 
-def fetcher(k: int):
-    """The sets of the texts that were asked for by their identity."""
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed, each with the place that asks for it; a row that a task has seen (of a repeated document) is left out."""
+    seen: set[tuple] = set()
+    for batch in batches:
+        new, packed, last = [], [], None
+        asked = zip(*(c.to_pylist() for c in batch.columns[1:]))
+        for i, row in enumerate(asked):
+            if row in seen:
+                continue
+            seen.add(row)
+            if row[-1] != last:
+                last, text = row[-1], zlib.compress(batch.column(0)[i].as_py().encode("utf-8", "surrogatepass"), 1)
+            new.append(i), packed.append(text)
+        kept = batch.take(pa.array(new, pa.int64()))
+        yield pa.RecordBatch.from_arrays([*kept.columns[1:], pa.array(packed, pa.binary())], ["a", "place", "role", "node", "packed"])
 
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            nodes, sets = [], []
-            for elements, node, sid in zip(sets_of(texts_in(batch, 0), k), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                if identity(elements) == sid:
-                    nodes.append(node)
-                    sets.append(elements.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "elements"])
-
-    return fetch
 
-
-def compare(num: int, den: int):
-    """Links among rows in the order of held set: first the set itself, then those to compare it with."""
+def compare(k: int, num: int, den: int):
+    """Links among rows in the order of held text: first the text itself, then those to compare it with."""
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, np.zeros(0, np.uint64)
         for batch in batches:
             a, b = [], []
-            for h, place, role, x, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                elements = np.frombuffer(raw, np.uint64)
+            *keys, packed = (c.to_pylist() for c in batch.columns)
+            for h, place, role, x, elements in zip(*keys, sets_of((zlib.decompress(p) for p in packed), k)):
                 if role == 0:
                     held_key, held = (h, place), elements
                 elif held_key == (h, place) and len(held):
@@ -182,14 +183,9 @@ class SetJoin(BucketJoin):
         )
 
     def frequent(self, members: DataFrame) -> np.ndarray:
-        """The bits of the frequent elements: one row for each 32768 of them comes to the driver, however many elements there are."""
+        """The bits of the frequent elements."""
         counts = members.select(F.explode("heads").alias("element")).groupBy("element").count().filter(f"count >= {FREQUENT}")
-        at = counts.select(F.shiftrightunsigned("element", 64 - FREQUENT_BITS).alias("at"))
-        parts = at.groupBy(F.floor(F.col("at") / 32768).alias("part")).agg(F.bitmap_construct_agg(F.col("at") % 32768).alias("bits"))
-        out = np.zeros(max(1 << FREQUENT_BITS, 32768) // 8, np.uint8)
-        for part, bits in parts.collect():
-            out[part * 4096 : (part + 1) * 4096] = np.frombuffer(bytes(bits), np.uint8)
-        return out
+        return bits_of(counts.select("element"), FREQUENT_BITS)
 
     def nodes(self) -> tuple[DataFrame, DataFrame]:
         """Each document's set, and each distinct set once, with a number, its smallest doc_id, summary and signatures."""
@@ -201,20 +197,23 @@ class SetJoin(BucketJoin):
         return members.select("doc_id", "n", "sid", "mark"), self.scratch.write(nodes, "nodes")
 
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
-        """The links among the pairs; a is held while its partners b pass by."""
+        """The links among the pairs; a is held while its partners b pass by.
+
+        A node's text is that of its first row, found by doc_id and a hash of the text, so
+        that rows without doc_id don't meet. It travels once for each pair, compressed.
+        """
         pairs = self.scratch.write(pairs, f"{name}_pairs")
-        asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        asked = self.scratch.write(nodes.select("node", "sid", "rep_id").join(asked, "node", "left_semi"), f"{name}_asked")
-        texts = self.docs.join(sent_whole_if_small(asked), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "node", "sid")
-        sets = self.scratch.write(texts.mapInArrow(fetcher(self.k), "node long, elements binary"), f"{name}_sets")
         places = F.ceil(F.col("partners") / PER_PLACE)
         counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
-        placed = counted.select("a", "b", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"))
-        passing = placed.join(sets.withColumnRenamed("node", "b"), "b").select("a", "place", F.lit(1).alias("role"), "b", "elements")
-        held = placed.select("a", "place").distinct().join(sets.withColumnRenamed("node", "a"), "a")
-        held = held.select("a", "place", F.lit(0).alias("role"), F.col("a").alias("b"), "elements")
-        rows = held.unionByName(passing).repartition("a", "place").sortWithinPartitions("a", "place", "role")
-        return self.scratch.write(rows.mapInArrow(compare(self.num, self.den), "a long, b long"), f"{name}_links")
+        placed = counted.select("a", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"), F.lit(1).alias("role"), F.col("b").alias("node"))
+        held = placed.select("a", "place").distinct().select("a", "place", F.lit(0).alias("role"), F.col("a").alias("node"))
+        rows = nodes.select("node", F.col("best.doc_id").alias("rep_id"), F.col("best.mark").alias("rep_mark"))
+        asked = self.scratch.write(held.unionByName(placed).join(rows, "node"), f"{name}_asked")
+        same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))
+        texts = self.docs.join(sent_whole_if_small(asked), same).select("text", "a", "place", "role", "node")
+        texts = texts.mapInArrow(pack, "a long, place int, role int, node long, packed binary")
+        texts = texts.repartition("a", "place").sortWithinPartitions("a", "place", "role")
+        return self.scratch.write(texts.mapInArrow(compare(self.k, self.num, self.den), "a long, b long"), f"{name}_links")
 
 
 def linked(docs: DataFrame, scratch: Scratch, k: int, num: int, den: int) -> DataFrame:
