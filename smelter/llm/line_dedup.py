@@ -27,7 +27,7 @@ EDITS, SHORTEST = 2, 20
 PER_PLACE = 512
 WHITE = " \t\n\x0b\x0c\r"
 INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
-LINES = "doc_id long, at int, lid binary, n long, heads array<long>, bits array<long>"
+LINES = "doc_id long, mark long, at int, lid binary, n long, heads array<long>, bits array<long>"
 #: 64-bit words of a line's summary.
 LONGS = 2
 #: Characters of new lines that are hashed together.
@@ -56,16 +56,19 @@ def edit_distance(a: str, b: str, most: int) -> int:
         return len(b)
     m, band = len(a), 2 * most + 1
     full = (1 << band) - 1
-    # where each character stands in a
-    masks: dict[str, int] = {}
-    for i, c in enumerate(a):
-        masks[c] = masks.get(c, 0) | 1 << i
+    # for each character where it stands in the band, as of the step named beside
+    masks: dict[str, tuple[int, int]] = {}
+    for i, c in enumerate(a[:most]):
+        masks[c] = masks.get(c, (0, 0))[0] | 1 << i + most, 0
     # bit k of column j is row j - most + k; the score is that of the band's last row, or of the last of all
     up, down, score = full ^ ((1 << most) - 1), 0, min(most, m)
     for j, c in enumerate(b):
         shift = j - most
-        mask = masks.get(c, 0)
-        match = (mask >> shift if shift >= 0 else mask << -shift) & full
+        if j + most < m:
+            mask, since = masks.get(a[j + most], (0, j))
+            masks[a[j + most]] = mask >> j - since | 1 << band - 1, j
+        mask, since = masks.get(c, (0, j))
+        match = mask >> j - since
         diagonal = ((((match & up) + up) ^ up) | match | down) & full
         rises = down | (full & ~(diagonal | up))
         falls = diagonal & up
@@ -150,7 +153,7 @@ def lines_of(text: str | None) -> Iterator[tuple[int, str]]:
 
 def splitter(edits: int, shortest: int):
     """Each line's place, identity and length; its signatures just once in a task."""
-    schema = pa.schema([("doc_id", pa.int64()), ("at", pa.int32()), ("lid", pa.binary()), ("n", pa.int64()), ("heads", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("at", pa.int32()), ("lid", pa.binary()), ("n", pa.int64()), ("heads", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def pack(rows: list, new: list) -> pa.RecordBatch:
         lines = [line for _, line in new]
@@ -164,7 +167,7 @@ def splitter(edits: int, shortest: int):
             return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
 
         heads = lists([s.view(np.int64) for s in signatures(lines, edits)])
-        columns = zip(*rows) if rows else [[], [], [], []]
+        columns = zip(*rows) if rows else [[]] * 5
         arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
         return pa.RecordBatch.from_arrays([*arrays, heads, lists(summaries(lines))], schema=schema)
 
@@ -172,14 +175,14 @@ def splitter(edits: int, shortest: int):
         seen: set[bytes] = set()
         for batch in batches:
             rows, new, size = [], [], 0
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for doc_id, text, mark in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
                 for at, line in lines_of(text.as_py()):
                     lid = identity(line)
                     if len(line) >= shortest and lid not in seen:
                         seen.add(lid)
                         new.append((len(rows), line))
                         size += len(line)
-                    rows.append((doc_id, at, lid, len(line)))
+                    rows.append((doc_id, mark, at, lid, len(line)))
                     if size > STRETCH:
                         yield pack(rows, new)
                         rows, new, size = [], [], 0
@@ -189,13 +192,16 @@ def splitter(edits: int, shortest: int):
 
 
 def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The lines that were asked for, by their place and identity."""
+    """The lines that were asked for, by their place and identity, just once in a task."""
+    seen: set[int] = set()
     for batch in batches:
         nodes, lines = [], []
         for text, asked in zip(batch.column(0), batch.column(1).to_pylist()):
             wanted = {}
             for a in asked:
-                wanted.setdefault(a["at"], []).append(a)
+                if a["node"] not in seen:
+                    seen.add(a["node"])
+                    wanted.setdefault(a["at"], []).append(a)
             for at, line in lines_of(text.as_py()):
                 for a in wanted.get(at, ()):
                     if a["lid"] == identity(line):
@@ -233,10 +239,12 @@ class LineJoin(BucketJoin):
     def verified(self, pairs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
         pairs = self.scratch.write(pairs, f"{name}_pairs")
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        asked = nodes.select("node", "lid", "rep_id", "at").join(asked, "node", "left_semi")
-        asked = self.scratch.write(asked.groupBy("rep_id").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")), f"{name}_asked")
-        texts = self.docs.join(sent_whole_if_small(asked, "size(asked)"), F.col("doc_id").eqNullSafe(F.col("rep_id"))).select("text", "asked")
-        lines = self.scratch.write(texts.mapInArrow(fetch, "node long, line string"), f"{name}_lines")
+        asked = nodes.select("node", "lid", "rep_id", "rep_mark", "at").join(asked, "node", "left_semi")
+        # a text is found by doc_id and a hash, so that rows without doc_id don't meet; the list has lines of one text
+        asked = self.scratch.write(asked.groupBy("rep_id", "rep_mark").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")), f"{name}_asked")
+        same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))
+        texts = self.docs.join(sent_whole_if_small(asked, "size(asked)"), same).select("text", "asked")
+        lines = self.scratch.write(texts.mapInArrow(fetch, "node long, line string").dropDuplicates(["node"]), f"{name}_lines")
         places = F.ceil(F.col("partners") / PER_PLACE)
         counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
         placed = counted.select("a", "b", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"))
@@ -259,9 +267,10 @@ def similar_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST)
     no rows. A hash of 128 bits stands for a line, one of 64 for a substring.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = slim.withColumn("mark", F.xxhash64("text"))
     with Scratch(docs.sparkSession) as scratch:
         found = scratch.write(slim.mapInArrow(splitter(edits, shortest), LINES), "lines")
-        texts = found.filter("heads is not null").dropDuplicates(["lid"]).withColumnRenamed("doc_id", "rep_id")
+        texts = found.filter("heads is not null").dropDuplicates(["lid"]).withColumnsRenamed({"doc_id": "rep_id", "mark": "rep_mark"})
         nodes = scratch.write(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
         labels = components(LineJoin(slim, scratch, edits).links(nodes))
         # each line's first place, and that of the class for those that are linked

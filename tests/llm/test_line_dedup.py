@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 
@@ -109,3 +110,23 @@ def test_report_and_texts_follow_the_classes(table):
 def test_empty_tables(docs, table):
     assert similar_lines(table.limit(0)).count() == line_report(table.limit(0)).count() == drop_lines(table.limit(0)).count() == 0
     assert rows(line_report(docs((1, None), (2, " \n"))), "doc_id", "n_lines", "n_dropped") == [(1, 0, 0), (2, 0, 0)]
+
+
+def test_long_similar_lines_take_time_in_proportion():
+    rng = random.Random(4)
+
+    def seconds(n):
+        one = "".join(rng.choice("abcdefgh ") for _ in range(n))
+        other = "x" + one[1 : n - 1] + "y"
+        start = time.process_time()
+        assert edit_distance(one, other, 2) == 2 and edit_distance(one, "yy" + other, 2) == 3
+        return time.process_time() - start
+
+    assert seconds(400_000) < 10 * seconds(100_000)
+
+
+def test_many_rows_without_doc_id(docs):
+    base = [words(30, i) for i in range(40)]
+    lines = docs(*((None, base[i % 40] + " ab"[: i % 3]) for i in range(1500)))
+    found = similar_lines(lines).collect()
+    assert len(found) == 1500 and all(r.class_doc is None for r in found)
