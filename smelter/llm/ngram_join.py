@@ -206,6 +206,7 @@ class SetJoin(BucketJoin):
         places = F.ceil(F.col("partners") / PER_PLACE)
         counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
         placed = counted.select("a", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"), F.lit(1).alias("role"), F.col("b").alias("node"))
+        placed = self.scratch.write(placed, f"{name}_placed")
         held = placed.select("a", "place").distinct().select("a", "place", F.lit(0).alias("role"), F.col("a").alias("node"))
         rows = nodes.select("node", F.col("best.doc_id").alias("rep_id"), F.col("best.mark").alias("rep_mark"))
         asked = self.scratch.write(held.unionByName(placed).join(rows, "node"), f"{name}_asked")
