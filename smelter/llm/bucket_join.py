@@ -9,13 +9,14 @@ at most d bits. It is looked at while buckets are joined, so that few pairs come
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.common import Scratch
+from smelter.llm.common import Scratch, in_tasks
 from smelter.llm.components import components
 
 #: A bucket with at most so many nodes is compared throughout; in a larger one nodes that are connected already are not.
@@ -72,7 +73,7 @@ class BucketJoin:
         raise NotImplementedError
 
     def buckets(self, nodes: DataFrame) -> DataFrame:
-        """signature, node, members: the nodes of each signature that several have; of signatures with the same nodes one is left."""
+        """signature, node, members, n, bits: the nodes of each signature that several have; of signatures with the same nodes one is left."""
         counts = nodes.select(F.explode("heads").alias("signature")).groupBy("signature").agg(F.count(F.lit(1)).alias("members"))
         bits = bits_of(counts.filter("members > 1").select("signature"), REPEATED_BITS)
         index = nodes.select("node", "heads").mapInArrow(repeated_heads(bits, REPEATED_BITS), "signature long, node long")
@@ -80,33 +81,41 @@ class BucketJoin:
         # two hashes of 64 bits stand for the nodes of a signature
         one, other = F.xxhash64("node"), F.xxhash64("node", F.lit(1))
         groups = index.groupBy("signature").agg(F.count(F.lit(1)).alias("members"), F.bit_xor(one).alias("one"), F.bit_xor(other).alias("other"))
-        left = groups.filter("members > 1").groupBy("members", "one", "other").agg(F.min("signature").alias("signature"))
-        return index.join(left.select("signature", "members"), "signature")
+        few = partial(in_tasks, rows=index.count())
+        left = few(groups.filter("members > 1")).groupBy("members", "one", "other").agg(F.min("signature").alias("signature"))
+        met = few(index.join(few(left.select("signature", "members")), "signature"))
+        return few(met.join(nodes.select("node", "n", "bits"), "node"))
 
     def links(self, nodes: DataFrame) -> DataFrame:
         """Links that connect all nodes which a chain of similar pairs connects.
 
         `nodes` has node, n, bits and heads, the signatures of the node.
         """
-        buckets = self.scratch.write(self.buckets(nodes).join(nodes.select("node", "n", "bits"), "node"), "buckets")
+        buckets = self.scratch.write(self.buckets(nodes), "buckets")
+        few = partial(in_tasks, rows=(rows := buckets.count()))
         small, large = buckets.filter(f"members <= {SMALL_BUCKET}"), buckets.filter(f"members > {SMALL_BUCKET}")
-        within = paired(small, small, f"a < b and {self.close}").distinct()
+        within = paired(small, small, f"a < b and {self.close}")
         # in a large bucket all are compared with one; the order of nodes is the same in all buckets
         first = large.groupBy("signature").agg(F.min(F.struct(F.xxhash64("node"), "node", "n", "bits")).alias("first"))
         hubs = first.select("signature", "first.node", "first.n", "first.bits")
-        with_hub = paired(hubs, large, f"a <> b and {self.close}").distinct()
-        found = self.verified(within.unionByName(with_hub).distinct(), nodes, "first")
+        with_hub = paired(hubs, large, f"a <> b and {self.close}")
+        # a node meets at most half of a small bucket, on average, or its hub
+        few_pairs = partial(in_tasks, rows=rows * max(1, SMALL_BUCKET // 2))
+        found = self.verified(few_pairs(few_pairs(within.unionByName(with_hub)).distinct()), nodes, "first")
         # what is left are buckets with nodes that aren't connected yet
-        labelled = large.join(components(found), "node", "left").withColumn("label", F.coalesce("label", "node"))
-        labelled = self.scratch.write(labelled.select("signature", "node", "n", "bits", "label"), "labelled")
+        labels = components(found, self.scratch)
+        labelled = large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+        labelled = self.scratch.write(few(labelled.select("signature", "node", "n", "bits", "label")), "labelled")
         per_label = labelled.groupBy("signature", "label").agg(F.count(F.lit(1)).alias("members"))
         main = per_label.groupBy("signature").agg(F.max_by("label", F.struct("members", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
-        open_ = self.scratch.write(labelled.join(main.filter("labels > 1"), "signature"), "open")
+        open_ = self.scratch.write(few(labelled.join(main.filter("labels > 1"), "signature")), "open")
         # a pair is taken from one of the buckets that it shares
         open_ = open_.join(open_.groupBy("node").agg(F.collect_list("signature").alias("shared")), "node")
         apart = f"a_label <> b_label and (b_label = b_main or a < b) and {self.close}"
         rest = paired(open_.filter("label <> main"), open_, f"{apart} and array_min(array_intersect(a_shared, b_shared)) = signature")
         rest = self.scratch.write(rest.distinct(), "rest")
+        # each node's link with its label connects what the links found connect
+        found = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         if rest.isEmpty():
             return found
         return found.unionByName(self.verified(rest, nodes, "rest"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.bucket_join import BucketJoin, hamming
-from smelter.llm.common import Scratch, durable, sent_whole_if_small
+from smelter.llm.common import Scratch, durable, in_tasks, sent_whole_if_small
 from smelter.llm.components import components
 from smelter.llm.words import FACTOR, mix, powers
 
@@ -241,18 +242,20 @@ class LineJoin(BucketJoin):
         asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         asked = nodes.select("node", "lid", "rep_id", "rep_mark", "at").join(asked, "node", "left_semi")
         # a text is found by doc_id and a hash, so that rows without doc_id don't meet; the list has lines of one text
-        asked = self.scratch.write(asked.groupBy("rep_id", "rep_mark").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")), f"{name}_asked")
+        few = partial(in_tasks, rows=2 * pairs.count())
+        asked = few(asked.groupBy("rep_id", "rep_mark").agg(F.collect_list(F.struct("node", "lid", "at")).alias("asked")))
+        asked = self.scratch.write(asked, f"{name}_asked")
         same = F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("mark") == F.col("rep_mark"))
         texts = self.docs.join(sent_whole_if_small(asked, "size(asked)"), same).select("text", "asked")
-        lines = self.scratch.write(texts.mapInArrow(fetch, "node long, line string").dropDuplicates(["node"]), f"{name}_lines")
-        places = F.ceil(F.col("partners") / PER_PLACE)
-        counted = pairs.join(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("partners")), "a")
-        placed = counted.select("a", "b", F.pmod(F.xxhash64("b"), places).cast("int").alias("place"))
-        passing = placed.join(lines.withColumnRenamed("node", "b"), "b").select("a", "place", F.lit(1).alias("role"), "b", "line")
-        held = placed.select("a", "place").distinct().join(lines.withColumnRenamed("node", "a"), "a")
-        held = held.select("a", "place", F.lit(0).alias("role"), F.col("a").alias("b"), "line")
-        rows = held.unionByName(passing).repartition("a", "place").sortWithinPartitions("a", "place", "role")
-        return self.scratch.write(rows.mapInArrow(comparer(self.edits), "a long, b long"), f"{name}_links")
+        lines = self.scratch.write(few(texts.mapInArrow(fetch, "node long, line string").dropDuplicates(["node"])), f"{name}_lines")
+        # a line is held once in each place that its partners are dealt to
+        held = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PER_PLACE).cast("int").alias("places"))
+        place = F.pmod(F.xxhash64("b"), "places").cast("int").alias("place")
+        passing = few(pairs.join(held, "a")).select("a", place, F.lit(1).alias("role"), F.col("b").alias("node"))
+        held = held.select("a", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("place"), F.lit(0).alias("role"), F.col("a").alias("node"))
+        rows = few(few(held.unionByName(passing)).join(lines, "node")).select("a", "place", "role", F.col("node").alias("b"), "line")
+        rows = rows.repartition("a", "place").sortWithinPartitions("a", "place", "role")
+        return self.scratch.write(few(rows.mapInArrow(comparer(self.edits), "a long, b long")), f"{name}_links")
 
 
 def similar_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
@@ -271,20 +274,21 @@ def similar_lines(docs: DataFrame, edits: int = EDITS, shortest: int = SHORTEST)
     with Scratch(docs.sparkSession) as scratch:
         found = scratch.write(slim.mapInArrow(splitter(edits, shortest), LINES), "lines")
         texts = found.filter("heads is not null").dropDuplicates(["lid"]).withColumnsRenamed({"doc_id": "rep_id", "mark": "rep_mark"})
-        nodes = scratch.write(texts.withColumn("node", F.monotonically_increasing_id()), "nodes")
-        labels = components(LineJoin(slim, scratch, edits).links(nodes))
+        few = partial(in_tasks, rows=found.count())
+        nodes = scratch.write(few(texts.withColumn("node", F.monotonically_increasing_id())), "nodes")
+        labels = components(LineJoin(slim, scratch, edits).links(nodes), scratch)
         # each line's first place, and that of the class for those that are linked
         first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "at"))
         firsts = found.groupBy("lid").agg(first.alias("first"))
-        linked = nodes.select("lid", "node").join(labels, "node").select("lid", "label")
-        by_line = firsts.join(linked, "lid", "left")
-        smallest = by_line.filter("label is not null").groupBy("label").agg(F.min("first").alias("class_first"))
-        by_line = by_line.join(smallest, "label", "left").select("lid", F.coalesce("class_first", "first").alias("first"))
+        linked = few(nodes.select("lid", "node").join(labels, "node").select("lid", "label"))
+        by_line = few(firsts.join(linked, "lid", "left"))
+        smallest = few(by_line.filter("label is not null").groupBy("label").agg(F.min("first").alias("class_first")))
+        by_line = few(by_line.join(smallest, "label", "left")).select("lid", F.coalesce("class_first", "first").alias("first"))
         return durable(
-            found.select("doc_id", "at", "lid").join(by_line, "lid").select(
+            few(found.select("doc_id", "at", "lid").join(by_line, "lid").select(
                 "doc_id", F.col("at").alias("line"), F.col("first.doc_id").alias("class_doc"), F.col("first.at").alias("class_line"),
                 (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("at") == F.col("first.at"))).alias("kept"),
-            )
+            ))
         )
 
 

@@ -222,7 +222,7 @@ def linked(docs: DataFrame, scratch: Scratch, k: int, num: int, den: int) -> Dat
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     join = SetJoin(slim.withColumn("mark", F.unhex(F.md5("text"))), scratch, k, num, den)
     members, nodes = join.nodes()
-    labels = components(join.links(nodes))
+    labels = components(join.links(nodes), scratch)
     known = nodes.select("node", "sid", "rep_id", "best").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = known.groupBy("label").agg(F.min("rep_id").alias("component_id"), F.min("best").alias("kept"))
     by_set = known.join(smallest, "label").select("sid", "component_id", "kept")

@@ -130,3 +130,14 @@ def test_many_rows_without_doc_id(docs):
     lines = docs(*((None, base[i % 40] + " ab"[: i % 3]) for i in range(1500)))
     found = similar_lines(lines).collect()
     assert len(found) == 1500 and all(r.class_doc is None for r in found)
+
+
+def test_small_tables_take_few_tasks(spark, table, conf):
+    conf({"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    spark.sparkContext.setJobGroup("few", "")
+    found = similar_lines(table)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("few") for s in tracker.getJobInfo(job).stageIds}
+    tasks = sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+    spark.sparkContext.setJobGroup("", "")
+    assert found.count() > 500 and 0 < tasks < 3000
