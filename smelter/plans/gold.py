@@ -229,14 +229,16 @@ def fct_sales(
 
     The customer's state is added to the orders before they meet the lines: the
     join with the customers then shuffles one row per order instead of one per
-    line. In each of the four joins the rows that may pile up on one key
+    line. The lines get their seller's state and product's category while they
+    are narrow, and meet the orders last, so no shuffle of lines carries a column
+    of the orders; what follows from a column of the orders or lines is computed
+    after the joins. In each of the four joins the rows that may pile up on one key
     (orders of a customer, lines of an order, product or seller) are on the
     left of a left join or in an inner join, so AQE can split that key.
     """
     placed = stg_orders.select(
         "order_id",
         "customer_id",
-        C.date_key(F.col("order_purchase_at")).alias("date_key"),
         "order_status",
         "order_purchase_at",
         "delivered_at",
@@ -257,20 +259,20 @@ def fct_sales(
         "line_total",
     )
     return (
-        lines.join(placed, "order_id")
-        .join(stg_products.select("product_id", "category_name"), "product_id", "left")
-        .join(
+        lines.join(
             stg_sellers.select("seller_id", F.col("state").alias("seller_state")),
             "seller_id",
             "left",
         )
+        .join(stg_products.select("product_id", "category_name"), "product_id", "left")
+        .join(placed, "order_id")
         .select(
             "order_line_id",
             "order_id",
             "product_id",
             "seller_id",
             "customer_id",
-            "date_key",
+            C.date_key(F.col("order_purchase_at")).alias("date_key"),
             "order_status",
             "order_purchase_at",
             "delivered_at",

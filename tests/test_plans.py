@@ -193,3 +193,15 @@ def test_seller_ranking_starts_no_job_while_it_is_built(spark, hot):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 2**40, 4000) > 50_000
+
+
+def test_lines_are_shuffled_without_columns_of_the_orders(hot, conf):
+    conf(AS_ON_LARGE_DATA)
+    df = gold.fct_sales(
+        hot["items"], hot["orders"], hot["customers"], hot["products"], hot["sellers"]
+    )
+    logical = df._jdf.queryExecution().optimizedPlan().toString()
+    joins = [x for x in logical.splitlines() if "Join " in x]
+    depth = {re.search(r"(\w+_id)#", x).group(1): x.index("Join") for x in joins}
+    assert depth["order_id"] < min(depth["product_id"], depth["seller_id"])
+    assert "date_key" not in logical.split("Join ", 1)[1]
