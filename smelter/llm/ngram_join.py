@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smelter.llm.bucket_join import BucketJoin, bits_of, hamming, has_bit
-from smelter.llm.common import Scratch, durable, sent_whole_if_small
+from smelter.llm.common import Scratch, durable, sent_whole_if_small, small_batches
 from smelter.llm.components import components
-from smelter.llm.words import LOWER, blocks, mix, shingles_of, word_hashes
+from smelter.llm.words import LOWER, blocks, mix, shingles_of, slices, word_hashes
 
 #: An element is frequent if it is among the first ones of so many sets. A bit for each hash of FREQUENT_BITS
 #: bits keeps them; another element with such a hash counts as frequent too, which costs time, but no link.
@@ -111,7 +111,7 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             columns = [batch.column(0), [], [], [], []]
             for elements in sets_of(texts_in(batch, 1), k):
                 sid, n = identity(elements), len(elements)
@@ -135,7 +135,7 @@ def indexer(k: int, num: int, den: int, frequent: np.ndarray | None):
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed, each with the place that asks for it; a row that a task has seen (of a repeated document) is left out."""
     seen: set[tuple] = set()
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole, 0)):
         new, packed, last = [], [], None
         asked = zip(*(c.to_pylist() for c in batch.columns[1:]))
         for i, row in enumerate(asked):
@@ -154,7 +154,7 @@ def compare(k: int, num: int, den: int):
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held = None, np.zeros(0, np.uint64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 4)):
             a, b = [], []
             *keys, packed = (c.to_pylist() for c in batch.columns)
             for h, place, role, x, elements in zip(*keys, sets_of((zlib.decompress(p) for p in packed), k)):
@@ -240,7 +240,7 @@ def similar_documents(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100
     are never paired. Other columns are ignored; an empty table gives no rows. Hashes
     stand for the words and sets, of 64 and 128 bits.
     """
-    with Scratch(docs.sparkSession) as scratch:
+    with small_batches(docs.sparkSession), Scratch(docs.sparkSession) as scratch:
         found = linked(docs, scratch, k, num, den)
         return durable(found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
@@ -251,7 +251,7 @@ def drop_similar(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) ->
     It keeps the smallest doc_id, null last, and of different texts under it one, by a hash
     of the text; rows equal in doc_id and text stay or go together. Rows without words stay.
     """
-    with Scratch(docs.sparkSession) as scratch:
+    with small_batches(docs.sparkSession), Scratch(docs.sparkSession) as scratch:
         found = linked(docs, scratch, k, num, den).filter("kept is not null").filter(~rank().eqNullSafe(F.col("kept")))
         gone = durable(found.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct())
     gone = sent_whole_if_small(gone)

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from smelter.llm.words import each_words, shingles_of
+from smelter.llm.words import blocks, each_words, shingles_of
 
 #: Labelled rows that the forest and its limit are fitted on, at most.
 LABELLED = 4000
@@ -45,9 +45,9 @@ def repeated(words: np.ndarray) -> int:
 
 def measure(texts: Iterable[str | None]) -> pd.DataFrame:
     """The counts that the rules look at, for each text; a null text has none of anything."""
-    held = [(t or "").encode() for t in texts]
     rows = []
-    for text, words in zip(held, each_words(held)):
+    # encoded a block at a time, since a batch may hold many texts
+    for text, words in ((t, w) for group in blocks((t or "").encode() for t in texts) for t, w in zip(group, each_words(group))):
         lines = [x for x in text.split(b"\n") if x.strip(WHITE)]
         rows.append(
             (

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text hashed together; a longer text is hashed alone.
 BLOCK = 1 << 20
@@ -83,6 +85,18 @@ def blocks(texts: Iterable[bytes]) -> Iterator[list[bytes]]:
         yield held
 
 
+def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in their order, in batches with about BLOCK bytes of that text column.
+
+    So what is made of the texts is small however many rows Spark sends at once.
+    """
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    block = (np.cumsum(sizes) - sizes) // BLOCK
+    cuts = [*np.flatnonzero(np.diff(block, prepend=-1)).tolist(), len(sizes)]
+    for start, end in zip(cuts, cuts[1:]):
+        yield batch.slice(start, end - start)
+
+
 def each_words(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
     """The word hashes of each text."""
     for group in blocks(texts):

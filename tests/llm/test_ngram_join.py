@@ -1,10 +1,13 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from smelter.llm import bucket_join, ngram_join
+from smelter.llm.common import BATCH_BYTES, BATCH_SETTING, small_batches
 from smelter.llm.components import components
 from smelter.llm.ngram_join import allowed_missing, drop_similar, signatures, similar_documents, size_classes
 from tests.llm.conftest import rows, words
@@ -131,3 +134,53 @@ def test_components(spark, links):
     nodes = sorted({n for a, b in links for n in (a, b) if a != b})
     want = reach(nodes, [(nodes.index(a), nodes.index(b)) for a, b in links if a != b])
     assert rows(found, "node", "label") == list(zip(nodes, want))
+
+
+def test_a_task_holds_a_block_of_a_large_batch():
+    n, size = 5000, 5000
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([f"{i} " + "a b c " * (size // 6) for i in range(n)]), pa.array([b"m"] * n)], ["doc_id", "text", "mark"])
+    index = ngram_join.indexer(5, 80, 100, None)
+    tracemalloc.start()
+    got = sum(part.num_rows for part in index(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == n
+    # words and hashes of a block of 1 MB of such short words take about 40 times its size; all texts would be 25 MB more
+    ones = pa.RecordBatch.from_arrays([c.slice(0, 200) for c in batch.columns], batch.schema.names)
+    tracemalloc.start()
+    list(index(iter([ones])))
+    least = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < least + n * size / 2
+
+
+def test_texts_are_sent_to_python_in_small_batches(spark, conf):
+    texts = spark.range(0, 20_000, 1, 1).selectExpr("id doc_id", "concat(id, repeat(' a b c', 300)) text")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    def largest():
+        return texts.mapInArrow(sizes, "n long").agg({"n": "max"}).first()[0]
+
+    conf({BATCH_SETTING: "64m"})
+    with small_batches(spark):
+        assert largest() < 1.5 * BATCH_BYTES
+    assert spark.conf.get(BATCH_SETTING) == "64m" and largest() > 1.5 * BATCH_BYTES
+    with pytest.raises(ValueError), small_batches(spark):
+        raise ValueError
+    assert spark.conf.get(BATCH_SETTING) == "64m"
+    conf({BATCH_SETTING: "1m"})
+    with small_batches(spark):
+        assert largest() < 1.5 * 2**20
+
+
+def test_the_join_sends_small_batches(docs, monkeypatch):
+    made, plain = [], ngram_join.SetJoin.nodes
+    monkeypatch.setattr(ngram_join.SetJoin, "nodes", lambda self: made.append(self.docs.sparkSession.conf.get(BATCH_SETTING)) or plain(self))
+    table = docs((1, words(40, 1)), (2, words(40, 1) + " x"), (3, words(40, 2)))
+    before = table.sparkSession.conf.get(BATCH_SETTING)
+    assert [r.component_id for r in sorted(similar_documents(table).collect())] == [1, 1, 3]
+    assert [r.doc_id for r in sorted(drop_similar(table).collect())] == [1, 3]
+    assert made == [str(BATCH_BYTES)] * 2 and table.sparkSession.conf.get(BATCH_SETTING) == before

@@ -1,4 +1,5 @@
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -103,3 +104,18 @@ def test_an_empty_table_and_no_labels(spark, odd_docs):
     got = assess(odd_docs, labels)
     assert got.filter("kept = base_failed").count() == 0
     assert np.isclose(got.filter("kept").count(), keep_good(odd_docs, labels).count())
+
+
+def test_a_batch_is_encoded_a_block_at_a_time():
+    texts = [words(100, i) * 6 for i in range(40)] * 250
+    total = sum(map(len, texts))
+
+    def peak(some):
+        tracemalloc.start()
+        measure(some)
+        got = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return got
+
+    assert total > 20 << 20
+    assert peak(texts) < peak(texts[:500]) + total / 2
